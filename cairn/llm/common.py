@@ -141,8 +141,8 @@ def get_array(path: str) -> np.ndarray:
 # --- sorted arrays -----------------------------------------------------------------------------
 
 
-def write_store(df: DataFrame, key: str, values: dict[str, str], path: str, shard=None, shards: int | None = None) -> int:
-    """Writes ``df`` as sorted arrays; returns the number of rows.
+def write_store(df: DataFrame, key: str, values: dict[str, str], path: str, shard=None, shards: int | None = None) -> tuple[int, int]:
+    """Writes ``df`` as sorted arrays; returns the number of rows and the sum of the first value column.
 
     ``key`` is a long without repeats; ``values`` maps columns to numpy types.  ``shard`` is an
     integer expression that never falls as the key grows; by default the key's leading bits, which
@@ -164,7 +164,7 @@ def write_store(df: DataFrame, key: str, values: dict[str, str], path: str, shar
             put_array(f"{path}/{run:06d}.key.npy", k)
             for n in names:
                 put_array(f"{path}/{run:06d}.{n}.npy", t.column(n).to_numpy().astype(values[n]))
-            return pa.RecordBatch.from_pydict({"shard": pa.array([run], pa.int32()), "n": pa.array([len(k)], pa.int64()), "lo": pa.array([int(k[0])], pa.int64()), "hi": pa.array([int(k[-1])], pa.int64())})
+            return pa.RecordBatch.from_pydict({"shard": pa.array([run], pa.int32()), "n": pa.array([len(k)], pa.int64()), "lo": pa.array([int(k[0])], pa.int64()), "hi": pa.array([int(k[-1])], pa.int64()), "total": pa.array([int(np.sum(t.column(names[0]).to_numpy())) if names else 0], pa.int64())})
 
         for b in batches:
             s = b.column(0).to_numpy()
@@ -180,10 +180,10 @@ def write_store(df: DataFrame, key: str, values: dict[str, str], path: str, shar
         if parts:
             yield flush()
 
-    out = df.select(shard.alias("_shard"), key, *names).repartition(shards, "_shard").sortWithinPartitions("_shard", key).mapInArrow(write, "shard int, n long, lo long, hi long")
-    meta = sorted((r.shard, r.n, r.lo, r.hi) for r in out.collect())  # one row a shard
+    out = df.select(shard.alias("_shard"), key, *names).repartition(shards, "_shard").sortWithinPartitions("_shard", key).mapInArrow(write, "shard int, n long, lo long, hi long, total long")
+    meta = sorted((r.shard, r.n, r.lo, r.hi, r.total) for r in out.collect())  # one row a shard
     put_file(f"{path}/meta.json", json.dumps({"shards": meta, "values": names}).encode())
-    return sum(m[1] for m in meta)
+    return sum(m[1] for m in meta), sum(m[4] for m in meta)
 
 
 class Store:

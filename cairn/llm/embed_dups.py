@@ -264,4 +264,3 @@ def op3_embedding_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-OP3_SQL = None

@@ -128,7 +128,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def kept_lines(text: str | None, bits: bytes) -> bytes:
     """Applies a bitmap: the lines that stay, joined by \\n, as UTF-8."""
-    lines = (text or "").encode("utf-8").split(b"\n")
+    return kept_lines_of((text or "").encode("utf-8"), bits)
+
+
+def kept_lines_of(text: bytes, bits: bytes) -> bytes:
+    lines = text.split(b"\n")
     keep = np.unpackbits(np.frombuffer(zlib.decompress(bits), dtype=np.uint8), count=len(lines)).astype(bool)
     return b"\n".join(lines) if keep.all() else b"\n".join(x for x, k in zip(lines, keep) if k)
 

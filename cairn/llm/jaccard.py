@@ -32,7 +32,7 @@ from cairn.llm.common import Store, by_range, durable, framed, get_array, new_pa
 from cairn.llm.components import components
 from cairn.llm.words import Words, kgrams
 
-BITS = 18
+BITS, FILE = 18, 4 << 20
 
 
 def shingle_sets(col: pa.Array, n: int) -> list[np.ndarray]:
@@ -125,39 +125,70 @@ def index_lists(classes: DataFrame, num: int, den: int) -> DataFrame:
     return by_range(rows, "token", "size", "cid").mapInArrow(shared, schema)
 
 
-def member_sets(frame: DataFrame, n: int, wanted: str) -> DataFrame:
-    """cid, elements: the sets of the classes in the store ``wanted`` (cid -> least id), from that document's text."""
+def member_sets(frame: DataFrame, n: int, wanted: str, path: str) -> None:
+    """Writes the sets of the classes in the store ``wanted`` (cid -> least id), taken from that document's text:
+    each task appends its own to files of its own, and an index (cid -> file, begin, n) tells where.  No set is shuffled."""
 
     def run(batches):
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
         seen: set = set()
-        store = None
+        store, held, at, files = None, [], 0, 0
+
+        def flush():
+            put_array(f"{path}/{task << 16 | files}.npy", np.concatenate(held))
+
         for batch in batches:
             for part in slices(batch, "_text"):
                 store = store or Store.open(wanted)
                 sets = shingle_sets(part.column(1), n)
                 cids = np.array([set_id(s) - (1 << 63) if len(s) else 0 for s in sets], dtype=np.int64)
                 rank, least = store.find(cids, "least")
-                ids = part.column(0).to_pylist()
-                take = [i for i in np.flatnonzero(rank >= 0).tolist() if len(sets[i]) and (ids[i] == least[i] or ids[i] is None and least[i] == -(1 << 63)) and cids[i] not in seen]
-                take = list({int(cids[i]): i for i in take}.values())
-                if len(seen) > 200_000:
-                    seen.clear()
-                seen.update(int(cids[i]) for i in take)
-                offsets = np.cumsum([0, *(len(sets[i]) for i in take)])
-                flat = np.concatenate([sets[i] for i in take] or [np.zeros(0, np.uint64)]).view(np.int64)
-                yield pa.RecordBatch.from_pydict({"cid": pa.array(cids[take], pa.int64()), "elements": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))})
+                rows = []
+                for i, doc in enumerate(part.column(0).to_pylist()):
+                    c = int(cids[i])
+                    if rank[i] < 0 or not len(sets[i]) or least[i] != (-(1 << 63) if doc is None else doc) or c in seen:
+                        continue
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    seen.add(c)
+                    if at > FILE:
+                        flush()
+                        held, at, files = [], 0, files + 1
+                    held.append(sets[i])
+                    rows.append((c, task << 16 | files, at, len(sets[i])))
+                    at += len(sets[i])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)] if rows else [pa.array([], pa.int64())] * 4, names=["cid", "file", "begin", "n"])
+        if held:
+            flush()
+
+    where = frame.mapInArrow(run, "cid long, file long, begin long, n long")
+    write_store(where, "cid", {"file": "int64", "begin": "int64", "n": "int64"}, f"{path}/index")
+
+
+def compare(pairs: DataFrame, sets: str, num: int, den: int) -> DataFrame:
+    """a, b, distance, linked for the distinct pairs (a, b); the sets are memory-mapped, not joined."""
 
-    return frame.mapInArrow(run, "cid long, elements array<long>")
+    def run(batches):
+        files: dict[int, np.ndarray] = {}
+
+        def load(file, begin, n):
+            if file not in files:
+                if len(files) > 512:
+                    files.clear()
+                files[file] = get_array(f"{sets}/{file}.npy")
+            return files[file][begin : begin + n]
 
+        for batch in batches:
+            index = Store.open(f"{sets}/index")
+            ids = [batch.column(i).to_numpy() for i in (0, 1)]
+            (_, fa, ba, na), (_, fb, bb, nb) = (index.find(x, "file", "begin", "n") for x in ids)
+            same = np.array([len(np.intersect1d(load(*x), load(*y), assume_unique=True)) for x, y in zip(zip(fa.tolist(), ba.tolist(), na.tolist()), zip(fb.tolist(), bb.tolist(), nb.tolist()))], dtype=np.int64)
+            union = na + nb - same
+            yield pa.RecordBatch.from_pydict({"a": batch.column(0), "b": batch.column(1), "distance": pa.array(1 - same / np.maximum(union, 1)), "linked": pa.array(same * den >= union * num)})
 
-def compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """a, b, distance, linked for pairs (a, b)."""
-    left = sets.select(F.col("cid").alias("a"), F.col("elements").alias("ea"))
-    right = sets.select(F.col("cid").alias("b"), F.col("elements").alias("eb"))
-    both = pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
-    both = both.select("a", "b", (F.size("ea") + F.size("eb")).cast("long").alias("sum"), F.size(F.array_intersect("ea", "eb")).cast("long").alias("same"))
-    union = F.col("sum") - F.col("same")
-    return both.select("a", "b", (1 - F.col("same") / union).alias("distance"), (F.col("same") * den >= union * num).alias("linked"))
+    return pairs.select("a", "b").distinct().mapInArrow(run, "a long, b long, distance double, linked boolean")
 
 
 def near_enough(x: str, y: str, num: int, den: int):
@@ -179,7 +210,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted = new_path(spark, "wanted")
     active = durable(active, "active")
     write_store(least.join(active, "cid", "left_semi"), "cid", {"least": "int64"}, wanted)
-    sets = durable(member_sets(frame, n, wanted), "sets")
+    sets = new_path(spark, "sets")
+    member_sets(frame, n, wanted, sets)
     sweep(spark)
 
     # blocks of a list: sizes within one power of the threshold; each has a hub

@@ -16,6 +16,7 @@ import json
 import os
 import shutil
 import tempfile
+import time
 import uuid
 from collections import OrderedDict
 from urllib.parse import urlparse
@@ -60,11 +61,13 @@ def durable(df: DataFrame, name: str) -> DataFrame:
 
 def sweep(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of frames that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.1)
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20):
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20):
     """Cuts a batch so that a slice holds at most ``limit`` bytes of ``column``, or one row."""
     col = batch.column(batch.schema.get_field_index(column))
     if batch.num_rows == 0:
@@ -238,24 +241,26 @@ class Store:
 
 
 def framed(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
-    """_id long, _text string and, with ``carry``, _row: the whole input row, so that no name can clash."""
+    """_id long, _text string and, with ``carry``, _row: the rest of the input row, in a struct so that no name can clash."""
     cols = [F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text")]
-    return docs.select(*cols, *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")] if carry else []))
+    return docs.select(*cols, *([F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col)).alias("_row")] if carry else []))
 
 
-def out_schema(frame: DataFrame, fields: str):
-    """The output's schema: ``fields``, and _row if the frame carries it."""
+def out_schema(frame: DataFrame, fields: str, text_col: str = "text"):
+    """The output's schema: ``fields`` and, if the frame carries rows, row: the input's other columns, then the text."""
     from pyspark.sql import types as T
 
     schema = T.StructType.fromDDL(fields)
     if "_row" in frame.columns:
-        schema = schema.add("row", frame.schema["_row"].dataType, False)
+        schema = schema.add("row", T.StructType([*frame.schema["_row"].dataType.fields, T.StructField(text_col, frame.schema[1].dataType)]), False)
     return schema
 
 
-def with_row(part: pa.RecordBatch, arrays: dict) -> pa.RecordBatch:
+def with_row(part: pa.RecordBatch, arrays: dict, text_col: str = "text") -> pa.RecordBatch:
     if "_row" in part.schema.names:
-        arrays = arrays | {"row": part.column("_row")}
+        rest = part.column("_row")
+        names = [rest.type.field(i).name for i in range(rest.type.num_fields)]
+        arrays = arrays | {"row": pa.StructArray.from_arrays([*rest.flatten(), part.column(1)], [*names, text_col])}
     return pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
 

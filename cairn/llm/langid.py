@@ -215,9 +215,9 @@ def identify(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str
                 else:
                     best, low, score = np.zeros(len(n), int), np.zeros(len(n)), np.zeros(len(n))
                 pred = [trees.langs[b] if k else "und" for b, k in zip(best, known)]
-                yield with_row(part, {"doc_id": part.column(0), "lang_pred": pa.array(pred, pa.string()), "score": pa.array(np.where(known, score, 0.0)), "bits_per_byte": pa.array(np.where(known, low / n, 8.0))})
+                yield with_row(part, {"doc_id": part.column(0), "lang_pred": pa.array(pred, pa.string()), "score": pa.array(np.where(known, score, 0.0)), "bits_per_byte": pa.array(np.where(known, low / n, 8.0))}, text_col)
 
-    return frame.mapInArrow(run, out_schema(frame, "doc_id long, lang_pred string, score double, bits_per_byte double"))
+    return frame.mapInArrow(run, out_schema(frame, "doc_id long, lang_pred string, score double, bits_per_byte double", text_col))
 
 
 def held_out(id_col: str = "doc_id"):

@@ -121,9 +121,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep[begin[own[lose]] + np.array(place, dtype=np.int64)[lose]] = False
                 bits = [zlib.compress(np.packbits(keep[a:b]).tobytes(), 1) for a, b in zip(begin, begin[1:])]
                 dropped = np.bincount(own[lose], minlength=len(ids)) if len(lose) else np.zeros(len(ids), np.int64)
-                yield with_row(part, {"doc_id": part.column(0), "n_lines": pa.array(total, pa.int64()), "n_dropped": pa.array(dropped, pa.int64()), "keep_bits": pa.array(bits, pa.binary())})
+                yield with_row(part, {"doc_id": part.column(0), "n_lines": pa.array(total, pa.int64()), "n_dropped": pa.array(dropped, pa.int64()), "keep_bits": pa.array(bits, pa.binary())}, text_col)
 
-    return frame.mapInArrow(judge, out_schema(frame, "doc_id long, n_lines long, n_dropped long, keep_bits binary"))
+    return frame.mapInArrow(judge, out_schema(frame, "doc_id long, n_lines long, n_dropped long, keep_bits binary", text_col))
 
 
 def kept_lines(text: str | None, bits: bytes) -> bytes:

@@ -189,7 +189,7 @@ def probe(data) -> dict:
 def media_columns(df: DataFrame, media_col: str, id_col: str, payload: bool = False, carry: bool = False) -> DataFrame:
     """id, the features of ``FEATURES``, with ``payload`` the stored bytes read back, with ``carry`` the input row."""
     cols = [F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{media_col}`").cast("binary").alias("_media")]
-    frame = df.select(*cols, *([F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")] if carry else []))
+    frame = df.select(*cols, *([F.struct(*(F.col(f"`{c}`") for c in df.columns if c != media_col)).alias("_row")] if carry else []))
     kinds = {"status": pa.string(), "codec": pa.string(), "timescale": pa.int64(), "duration": pa.int64(), "seconds": pa.float64(), "n_samples": pa.int64()}
 
     def look(batches):
@@ -208,9 +208,9 @@ def media_columns(df: DataFrame, media_col: str, id_col: str, payload: bool = Fa
                 arrays = {"id": part.column(0)} | {k: pa.array([s.get(k) for s in seen], t) for k, t in kinds.items()} | {"keyframes": frames}
                 if payload:
                     arrays["payload"] = pa.array([read_samples(memoryview(f)) if s.get("status") == "ok" else None for f, s in zip(files, seen)], pa.binary())
-                yield with_row(part, arrays)
+                yield with_row(part, arrays, media_col)
 
-    return frame.mapInArrow(look, out_schema(frame, f"id long, {FEATURES}" + ", payload binary" * payload))
+    return frame.mapInArrow(look, out_schema(frame, f"id long, {FEATURES}" + ", payload binary" * payload, media_col))
 
 
 def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -94,9 +94,9 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
                 arrays = {"doc_id": part.column(0), "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))}
                 if decode:
                     arrays["decoded"] = pa.array(map(pieces.decode, ids), pa.string())
-                yield with_row(part, arrays)
+                yield with_row(part, arrays, text_col)
 
-    return frame.mapInArrow(run, out_schema(frame, "doc_id long, ids array<int>" + ", decoded string" * decode))
+    return frame.mapInArrow(run, out_schema(frame, "doc_id long, ids array<int>" + ", decoded string" * decode, text_col))
 
 
 def op6_sentencepiece(spark, sf_dir: str) -> DataFrame:

@@ -104,21 +104,23 @@ def repeated_minimizers(frame: DataFrame, window: int) -> DataFrame:
 
 def repeated_edges(frame: DataFrame, window: int, minimizers: str) -> DataFrame:
     """h, c (the two hashes), src, pos (first source coordinate), one_prev, one_next for each edge that occurs twice or more."""
-    names = ["h", "c", "src", "pos", "n", "prev_lo", "prev_hi", "next_lo", "next_hi"]
-
-    def merge(cols: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        """Rows sorted by (h, c, src, pos) → one row an edge."""
-        h, c = cols["h"], cols["c"]
-        cut = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])))
-        out = {k: cols[k][cut] for k in ("h", "c", "src", "pos")}
-        out["n"] = np.minimum(np.add.reduceat(cols["n"], cut), 2).astype(np.int32)  # once or more often is all that counts
-        for k in ("prev", "next"):
-            out[f"{k}_lo"] = np.minimum.reduceat(cols[f"{k}_lo"], cut)
-            out[f"{k}_hi"] = np.maximum.reduceat(cols[f"{k}_hi"], cut)
-        return out, cut
+    names = ["h", "at", "src", "ends"]
+
+    def merge(cols: list[np.ndarray]) -> list[np.ndarray]:
+        """Rows sorted by (h, at, src), in four longs → one row an edge.  at: check hash (32 bits), position (31), seen
+        twice or more (1); ends: the words before and after (31 bits each; 0 none, 1 they differ)."""
+        h, at, src, ends = cols
+        check = at >> 32
+        cut = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (check[1:] != check[:-1])))
+        many = np.maximum(np.maximum.reduceat(at & 1, cut), np.diff(np.append(cut, len(h))) > 1)
+        out = []
+        for side in (ends >> 32, ends & 0xFFFFFFFF):
+            lo, hi = np.minimum.reduceat(side, cut), np.maximum.reduceat(side, cut)
+            out.append(np.where(lo == hi, lo, 1))
+        return [h[cut], at[cut] & ~np.int64(1) | many, src[cut], out[0] << 32 | out[1]]
 
     def batch_of(cols):
-        return pa.RecordBatch.from_arrays([pa.array(cols[k], pa.int32() if k in ("pos", "n") else pa.int64()) for k in names], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
     def candidates(batches):
         store = None
@@ -136,43 +138,54 @@ def repeated_edges(frame: DataFrame, window: int, minimizers: str) -> DataFrame:
                 full = np.flatnonzero(words.counts())
                 src = np.zeros(len(lo), dtype=np.uint64)
                 src[full] = mix(np.add.reduceat(h * (mix((inner + 1).astype(np.uint64) * _POS) | np.uint64(1)), lo[full]))
-                word = (h >> np.uint64(32)).astype(np.int64) + 1  # 0: no word there
+                word = (h >> np.uint64(33)).astype(np.int64) | 2
                 prev = np.where(at > lo[doc], word[np.maximum(at - 1, 0)], 0)
                 after = np.where(at + window < hi[doc], word[np.minimum(at + window, len(h) - 1)], 0)
-                cols = {"h": w.edges(window, 0)[at].view(np.int64), "c": w.edges(window, 1)[at].view(np.int64), "src": src[doc].view(np.int64), "pos": (at - lo[doc]).astype(np.int32), "n": np.ones(len(at), np.int32), "prev_lo": prev, "prev_hi": prev, "next_lo": after, "next_hi": after}
-                order = np.lexsort((cols["pos"], cols["src"], cols["c"], cols["h"]))
-                yield batch_of(merge({k: v[order] for k, v in cols.items()})[0])
+                edge, check = w.edges(window, 0)[at].view(np.int64), _check(w.edges(window, 1)[at])
+                cols = [edge, check << 32 | (at - lo[doc]) << 1, src[doc].view(np.int64), prev << 32 | after]
+                order = np.lexsort(cols[2::-1])
+                yield batch_of(merge([c[order] for c in cols]))
 
     def repeats(batches):
         held = None
         for batch in batches:
-            cols = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in names}
+            cols = [batch.column(i).to_numpy() for i in range(4)]
             if held is not None:
-                cols = {k: np.concatenate([held[k], cols[k]]) for k in names}
-            out, _ = merge(cols)
-            held = {k: v[-1:] for k, v in out.items()}
-            if len(out["h"]) > 1:
-                yield said({k: v[:-1] for k, v in out.items()})
+                cols = [np.concatenate(x) for x in zip(held, cols)]
+            if not len(cols[0]):
+                continue
+            out = merge(cols)
+            held = [c[-1:] for c in out]
+            yield said([c[:-1] for c in out])
         if held is not None:
             yield said(held)
 
     def said(cols):
-        i = np.flatnonzero(cols["n"] >= 2)
-        one = {k: (cols[f"{k}_lo"][i] == cols[f"{k}_hi"][i]) & (cols[f"{k}_lo"][i] != 0) for k in ("prev", "next")}
-        return pa.RecordBatch.from_arrays([*(pa.array(cols[k][i]) for k in ("h", "c", "src")), pa.array(cols["pos"][i], pa.int32()), pa.array(one["prev"]), pa.array(one["next"])], names=["h", "c", "src", "pos", "one_prev", "one_next"])
+        h, at, src, ends = (c[(cols[1] & 1) == 1] for c in cols)
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array((at >> 32).astype(np.int32)), pa.array(src), pa.array((at & 0xFFFFFFFF).astype(np.int64) >> 1, pa.int32()), pa.array(ends >> 32 > 1), pa.array((ends & 0xFFFFFFFF) > 1)], names=["h", "c", "src", "pos", "one_prev", "one_next"])
 
-    rows = frame.mapInArrow(candidates, "h long, c long, src long, pos int, n int, prev_lo long, prev_hi long, next_lo long, next_hi long")
-    return by_range(rows, "h", "c", "src", "pos").mapInArrow(repeats, "h long, c long, src long, pos int, one_prev boolean, one_next boolean")
+    rows = frame.mapInArrow(candidates, "h long, at long, src long, ends long")
+    return by_range(rows, "h", "at", "src").mapInArrow(repeats, "h long, c int, src long, pos int, one_prev boolean, one_next boolean")
+
+
+def _check(edges: np.ndarray) -> np.ndarray:
+    """32 bits, with a sign, of the second hash."""
+    return edges.view(np.int64) >> 32
 
 
 def unitigs(edges: DataFrame) -> DataFrame:
-    """h (of a path's first edge), length (edges), sum (of all their check hashes), src, pos: maximal paths without a branch."""
-    before = edges.where("one_next").select("src", (F.col("pos") + 1).alias("pos"), F.lit(True).alias("goes_on"))
-    joined = edges.join(before, ["src", "pos"], "left")
-    first = ~(F.col("one_prev") & F.coalesce("goes_on", F.lit(False)))
+    """h (of a path's first edge), length (edges), sum (of all their check hashes), src, pos: maximal paths without a branch.
+
+    Along each source every edge is numbered with its path, and carries the sum of check hashes so far; a path's
+    first edge is then joined with its last, and two differences give length and sum."""
     along = Window.partitionBy("src").orderBy("pos")
-    marked = joined.withColumn("path", F.sum(first.cast("int")).over(along)).withColumn("first", first)
-    return marked.groupBy("src", "path").agg(F.max(F.when(F.col("first"), F.col("h"))).alias("h"), F.count("*").cast("int").alias("length"), F.bit_xor("c").alias("sum"), F.min("pos").alias("pos")).select("h", "length", "sum", "src", "pos")
+    goes_on = F.coalesce((F.lag("pos").over(along) == F.col("pos") - 1) & F.lag("one_next").over(along) & F.col("one_prev"), F.lit(False))
+    marked = edges.withColumn("first", ~goes_on).withColumn("path", F.sum((~goes_on).cast("int")).over(along)).withColumn("so_far", F.bit_xor("c").over(along))
+    marked = marked.withColumn("last", F.coalesce(F.lead("path").over(along) != F.col("path"), F.lit(True)))
+    marked = marked.where("first or last")
+    first = marked.where("first").select("src", "path", "h", "pos", F.col("so_far").bitwiseXOR(F.col("c")).alias("before"))
+    last = marked.where("last").select("src", "path", F.col("pos").alias("end"), "so_far")
+    return first.join(last, ["src", "path"]).select("h", (F.col("end") - F.col("pos") + 1).alias("length"), F.col("so_far").bitwiseXOR(F.col("before")).alias("sum"), "src", "pos")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, carry: bool = False) -> DataFrame:
@@ -183,7 +196,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     write_store(repeated_minimizers(slim, window), "m", {}, minimizers)
     sweep(spark)
     edges = durable(repeated_edges(slim, window, minimizers), "edges")
-    write_store(unitigs(edges), "h", {"length": "int32", "sum": "int64"}, paths)
+    write_store(unitigs(edges), "h", {"length": "int32", "sum": "int32"}, paths)
     sweep(spark)
 
     def clean(batches):
@@ -197,7 +210,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     rank, length, check = Store.open(paths).find(w.edges(window, 0)[at].view(np.int64), "length", "sum")
                     hit = rank >= 0
                     at, length, check = at[hit], length[hit].astype(np.int64), check[hit]
-                    run = np.append(np.int64(0), np.bitwise_xor.accumulate(w.edges(window, 1).view(np.int64)))
+                    run = np.append(np.int64(0), np.bitwise_xor.accumulate(_check(w.edges(window, 1))))
                     end = np.repeat(w.words.first[1:], w.words.counts())[at]
                     fits = at + length + window - 1 <= end
                     at, length, check = at[fits], length[fits], check[fits]
@@ -217,9 +230,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 spans = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(begins - first[doc], pa.int32()), pa.array(ends - first[doc], pa.int32())], ["begin", "end"]))
                 total = np.append(0, np.cumsum(gone))
                 removed = total[first[1:]] - total[first[:-1]]
-                yield with_row(part, {"doc_id": part.column(0), "n_words": pa.array(counts, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "spans": spans})
+                yield with_row(part, {"doc_id": part.column(0), "n_words": pa.array(counts, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "spans": spans}, text_col)
 
-    return frame.mapInArrow(clean, out_schema(frame, "doc_id long, n_words long, n_removed long, spans array<struct<begin:int,end:int>>"))
+    return frame.mapInArrow(clean, out_schema(frame, "doc_id long, n_words long, n_removed long, spans array<struct<begin:int,end:int>>", text_col))
 
 
 def kept_words(text: str | None, spans: list[dict]) -> list[bytes]:

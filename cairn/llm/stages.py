@@ -27,7 +27,7 @@ def language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs, ~langid.held_out())
     seen = langid.identify(docs, model, carry=True)
     if json.loads(get_file(f"{model}/meta.json"))["langs"]:
-        return seen.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < FOREIGN)).select("row.*")
+        return seen.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < FOREIGN)).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
     return docs.where(F.coalesce(F.rlike("text", F.lit(r"\p{L}")), F.lit(False)))
 
 

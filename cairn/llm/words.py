@@ -48,7 +48,7 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """starts: where each word begins in ``buf``; hashes; first[i]: index of document i's first word (n + 1 of them)."""
 
-    def __init__(self, col: pa.Array, fold: bool = False, step: int = 1 << 21):
+    def __init__(self, col: pa.Array, fold: bool = False, step: int = 1 << 19):
         self.buf, self.offs = text_bytes(col)
         buf = self.buf
         self.is_word = ~SPACE[buf]

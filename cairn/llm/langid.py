@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from cairn.llm.common import framed, get_array, new_path, out_schema, put_array, put_file, slices, with_row
 from cairn.llm.words import text_bytes
 
-ORDER, LEAST, ROWS, MAX_CELLS = 4, 3, 400, 24_000_000
+ORDER, LEAST, ROWS, MAX_BYTES, MAX_CELLS = 4, 3, 400, 1_500_000, 8_000_000
 _ASCII = re.compile("[A-Za-z]")
 
 
@@ -37,12 +37,15 @@ def has_letter(text: str) -> bool:
     return bool(_ASCII.search(text)) or any(map(str.isalpha, text))
 
 
-def sample(docs: DataFrame, rows: int, id_col: str, text_col: str, lang_col: str, learn) -> list[tuple[str, str]]:
-    """At most ``rows`` (lang, text) of each language among the rows ``learn`` admits, the same ones on every run:
-    those with the least hash of the id.  The bound is applied in every task before the shuffle."""
+def sample(docs: DataFrame, rows: int, id_col: str, text_col: str, lang_col: str, learn, max_bytes: int = MAX_BYTES) -> list[tuple[str, str]]:
+    """At most ``rows`` (lang, text) and ``max_bytes`` of whole texts (or one text) of each language among the rows
+    ``learn`` admits, the same ones on every run: those with the least hash of the id.  The bound on rows is applied
+    in every task before the shuffle."""
     own = docs.where(learn).where(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull())
     keyed = own.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{id_col}`").alias("h"))
-    picked = keyed.withColumn("rn", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("rn") <= rows)
+    order = Window.partitionBy("lang").orderBy("h", "text")
+    picked = keyed.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= rows)
+    picked = picked.withColumn("bytes", F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))).where((F.col("bytes") <= max_bytes) | (F.col("rn") == 1))
     return [(r.lang, r.text) for r in picked.select("lang", "text").collect()]
 
 
@@ -109,17 +112,20 @@ class Trees:
             node[node == size] = 0
             own = nodes[k][node] == ctx
             node, sym, lang, n = node[own], sym[own], lang[own], n[own]
-            c = np.zeros((size, width, len(langs)))
-            c[node, sym, lang] = n
-            total, kinds = c.sum(1), (c > 0).sum(1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                hit = -np.log2(c / (total + kinds)[:, None, :])
-                escape = np.where(kinds > 0, -np.log2(kinds / (total + kinds)), 0.0)
-            below = np.full((size, width, len(langs)), 8.0)
-            if k:
-                up = np.searchsorted(nodes[k - 1], nodes[k] % width ** (k - 1))
-                below = cost[above + up].astype(np.float64)
-            cost[base : base + size] = np.where(c > 0, hit, escape[:, None, :] + below)
+            up = np.searchsorted(nodes[k - 1], nodes[k] % width ** (k - 1)) + above if k else None
+            order_by_node = np.argsort(node, kind="stable")
+            node, sym, lang, n = (x[order_by_node] for x in (node, sym, lang, n))
+            for lo in range(0, size, 1024):  # some nodes at a time: this runs on the driver
+                hi = min(size, lo + 1024)
+                r = slice(*np.searchsorted(node, [lo, hi]))
+                c = np.zeros((hi - lo, width, len(langs)))
+                c[node[r] - lo, sym[r], lang[r]] = n[r]
+                total, kinds = c.sum(1), (c > 0).sum(1)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    hit = -np.log2(c / (total + kinds)[:, None, :])
+                    escape = np.where(kinds > 0, -np.log2(kinds / (total + kinds)), 0.0)
+                below = cost[up[lo:hi]].astype(np.float64) if k else np.full(c.shape, 8.0)
+                cost[base + lo : base + hi] = np.where(c > 0, hit, escape[:, None, :] + below)
             above, base = base, base + size
         return cls(langs, classes, np.concatenate(kids), cost)
 

@@ -240,8 +240,20 @@ class Store:
 # --- documents in, documents out ----------------------------------------------------------------
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of at most 4 MB between the JVM and its workers, unless the session asks for a size of its own: whole
+    texts differ in length by orders of magnitude, and the default, by rows, lets a batch take tens of MB on both sides."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == _batch_default.setdefault(key, spark.conf.get(key)):
+        spark.conf.set(key, str(4 << 20))
+
+
+_batch_default: dict[str, str] = {}
+
+
 def framed(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
     """_id long, _text string and, with ``carry``, _row: the rest of the input row, in a struct so that no name can clash."""
+    small_batches(docs.sparkSession)
     cols = [F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text")]
     return docs.select(*cols, *([F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col)).alias("_row")] if carry else []))
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import framed, out_schema, slices, with_row
+from cairn.llm.common import framed, out_schema, slices, small_batches, with_row
 
 #: Fixed values of the format: boxes that hold boxes.
 CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"edts", b"dinf"}
@@ -188,6 +188,7 @@ def probe(data) -> dict:
 
 def media_columns(df: DataFrame, media_col: str, id_col: str, payload: bool = False, carry: bool = False) -> DataFrame:
     """id, the features of ``FEATURES``, with ``payload`` the stored bytes read back, with ``carry`` the input row."""
+    small_batches(df.sparkSession)
     cols = [F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{media_col}`").cast("binary").alias("_media")]
     frame = df.select(*cols, *([F.struct(*(F.col(f"`{c}`") for c in df.columns if c != media_col)).alias("_row")] if carry else []))
     kinds = {"status": pa.string(), "codec": pa.string(), "timescale": pa.int64(), "duration": pa.int64(), "seconds": pa.float64(), "n_samples": pa.int64()}

@@ -13,15 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm import jaccard, langid, lines, packing, spans
-from cairn.llm.common import get_file
+from cairn.llm.common import get_file, slices
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-FOREIGN = 7.0
+FOREIGN = 8.0
 
 
 def language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents in no language: no text, no letter, or a code of ``FOREIGN`` bits a byte and more under
-    every language learnt (8 is what unrelated bytes cost).  With no language to learn from, only the former go."""
+    every language learnt (8: no shorter than the bytes themselves).  With no language to learn from, only the former go."""
     import json
 
     model = langid.train(docs, ~langid.held_out())
@@ -38,13 +38,13 @@ def _replaced(docs: DataFrame, judged: DataFrame, decision: str, cut) -> DataFra
     at = names.index("text")
 
     def run(batches):
-        for b in batches:
-            col = b.column(at)
-            new = []
-            for t, d in zip(col, b.column(len(names))):
-                left = cut((t.as_py() or "").encode("utf-8"), d.as_py())
-                new.append(t.as_py() if left is None else left.decode("utf-8"))
-            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if i == at else b.column(i) for i in range(len(names))], names=[f"c{i}" for i in range(len(names))])
+        for batch in batches:
+            for b in slices(batch, f"c{at}"):
+                new = []
+                for t, d in zip(b.column(at), b.column(len(names))):
+                    left = cut((t.as_py() or "").encode("utf-8"), d.as_py())
+                    new.append(t.as_py() if left is None else left.decode("utf-8"))
+                yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if i == at else b.column(i) for i in range(len(names))], names=[f"c{i}" for i in range(len(names))])
 
     schema = flat.drop("_cut").schema
     out = flat.mapInArrow(run, schema).toDF(*names)

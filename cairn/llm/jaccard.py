@@ -238,11 +238,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sweep(spark)
     found = components(first.union(second)) if not second.isEmpty() else found
 
-    names = least.join(found, F.col("cid") == F.col("node")).groupBy("label").agg(F.min("least").alias("component"))
-    named = least.join(found, F.col("cid") == F.col("node"), "left").join(names, "label", "left").select(F.col("cid").alias("_cid"), F.coalesce("component", "least").alias("component"))
+    own = F.when(F.col("least") != -(1 << 63), F.col("least"))  # an id that is null names nothing
+    names = least.join(found, F.col("cid") == F.col("node")).groupBy("label").agg(F.min(own).alias("component"))
+    named = least.join(found, F.col("cid") == F.col("node"), "left").join(names, "label", "left").select(F.col("cid").alias("_cid"), F.coalesce("component", own).alias("component"))
     out = signed.select("doc_id", "size", "cid").join(named, F.col("cid") == F.col("_cid"), "left")
-    nothing = F.lit(-(1 << 63))
-    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("component") == nothing, F.lit(None)).otherwise(F.coalesce("component", "doc_id")).cast("long").alias("component_id"))
+    return out.select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").cast("long").alias("component_id"))
 
 
 def op4_ngram_jaccard(spark, sf_dir: str) -> DataFrame:

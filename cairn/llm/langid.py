@@ -40,13 +40,19 @@ def has_letter(text: str) -> bool:
 def sample(docs: DataFrame, rows: int, id_col: str, text_col: str, lang_col: str, learn, max_bytes: int = MAX_BYTES) -> list[tuple[str, str]]:
     """At most ``rows`` (lang, text) and ``max_bytes`` of whole texts (or one text) of each language among the rows
     ``learn`` admits, the same ones on every run: those with the least hash of the id.  The bound on rows is applied
-    in every task before the shuffle."""
+    in every task before the shuffle, which carries no text."""
     own = docs.where(learn).where(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull())
     keyed = own.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{id_col}`").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    picked = keyed.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= rows)
-    picked = picked.withColumn("bytes", F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))).where((F.col("bytes") <= max_bytes) | (F.col("rn") == 1))
-    return [(r.lang, r.text) for r in picked.select("lang", "text").collect()]
+
+    def least(df: DataFrame, *ties: str) -> DataFrame:
+        order = Window.partitionBy("lang").orderBy("h", "size", *ties)
+        first = df.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= rows)
+        return first.withColumn("bytes", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))).where((F.col("bytes") <= max_bytes) | (F.col("rn") == 1))
+
+    sized = keyed.withColumn("size", F.octet_length("text"))
+    ids = [r.h for r in least(sized.drop("text")).select("h").distinct().collect()]  # at most ``rows`` a language
+    # the ids alone were dealt out; the few texts are fetched now, and the bound holds again should ids repeat
+    return [(r.lang, r.text) for r in least(sized.where(F.col("h").isin(ids)), "text").select("lang", "text").collect()] if ids else []
 
 
 class Trees:

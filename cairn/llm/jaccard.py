@@ -71,7 +71,8 @@ def set_id(s: np.ndarray) -> int:
 
 
 def signatures(frame: DataFrame, n: int, num: int, den: int, buckets: str) -> DataFrame:
-    """doc_id, size, cid (of the set; null if empty), prefix (the indexed elements, in order, 8 bytes each)."""
+    """doc_id, size, cid (of the set; null if empty), prefix (the indexed elements, in order, 8 bytes each) and, if the frame has it, text_key."""
+    keyed = "_key" in frame.columns
 
     def sign(batches):
         counts = get_array(buckets)
@@ -88,9 +89,10 @@ def signatures(frame: DataFrame, n: int, num: int, den: int, buckets: str) -> Da
                     rank = np.argsort(counts[s >> np.uint64(64 - BITS)] | s >> np.uint64(24), kind="stable")
                     cid.append(set_id(s) - (1 << 63))
                     prefix.append(s[rank[: len(s) + (-len(s) * num) // den + 1]].tobytes())
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "size": pa.array(size, pa.int64()), "cid": pa.array(cid, pa.int64()), "prefix": pa.array(prefix, pa.binary())})
+                key = {"text_key": part.column(2)} if keyed else {}
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "size": pa.array(size, pa.int64()), "cid": pa.array(cid, pa.int64()), "prefix": pa.array(prefix, pa.binary())} | key)
 
-    return frame.mapInArrow(sign, "doc_id long, size long, cid long, prefix binary")
+    return frame.mapInArrow(sign, "doc_id long, size long, cid long, prefix binary" + ", text_key long" * keyed)
 
 
 def index_lists(classes: DataFrame, num: int, den: int) -> DataFrame:
@@ -198,11 +200,13 @@ def near_enough(x: str, y: str, num: int, den: int):
     return (F.least(sx, sy) * den >= F.greatest(sx, sy) * num) & (most * (num + den) >= (sx + sy) * num)
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row for each row of ``docs``; links at a Jaccard of num / den or more."""
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, keys: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row for each row of ``docs``; links at a Jaccard of num / den or more.
+    With ``keys`` also text_key, xxhash64 of the text, and group: a number that the rows of a component share, whatever
+    their ids (null for empty sets)."""
     spark = docs.sparkSession
     frame = framed(docs, id_col, text_col, False)
-    signed = durable(signatures(frame, n, num, den, bucket_counts(frame, n)), "signed")
+    signed = durable(signatures(frame.withColumn("_key", F.xxhash64("_text")) if keys else frame, n, num, den, bucket_counts(frame, n)), "signed")
     classes = signed.where("cid is not null").groupBy("cid").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.min("doc_id").alias("least"))
     lists = durable(index_lists(classes, num, den), "lists")
     active = lists.groupBy("cid").agg(F.count("*").alias("spread"))
@@ -240,9 +244,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     own = F.when(F.col("least") != -(1 << 63), F.col("least"))  # an id that is null names nothing
     names = least.join(found, F.col("cid") == F.col("node")).groupBy("label").agg(F.min(own).alias("component"))
-    named = least.join(found, F.col("cid") == F.col("node"), "left").join(names, "label", "left").select(F.col("cid").alias("_cid"), F.coalesce("component", own).alias("component"))
-    out = signed.select("doc_id", "size", "cid").join(named, F.col("cid") == F.col("_cid"), "left")
-    return out.select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").cast("long").alias("component_id"))
+    named = least.join(found, F.col("cid") == F.col("node"), "left").join(names, "label", "left").select(F.col("cid").alias("_cid"), F.coalesce("component", own).alias("component"), F.coalesce("label", "cid").alias("group"))
+    more = ["text_key", "group"] if keys else []
+    out = signed.select("doc_id", "size", "cid", *more[:1]).join(named, F.col("cid") == F.col("_cid"), "left")
+    return out.select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").cast("long").alias("component_id"), *more)
 
 
 def op4_ngram_jaccard(spark, sf_dir: str) -> DataFrame:

@@ -64,10 +64,16 @@ def line_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near copies; rows with one id and text are one document."""
-    found = jaccard.jaccard_components(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """Keeps one document of each group of near copies, the one with the least id (null ids last; among texts of one
+    id, by their hash).  Rows with one id and text are one document (any one of
+    them stays).  Ids need not tell rows apart."""
+    found = jaccard.jaccard_components(docs, keys=True)
+    alone = F.col("group").isNull()  # no words, no group
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("_first")
+    first = found.groupBy("group", F.when(alone, F.col("doc_id")).alias("_id"), F.when(alone, F.col("text_key")).alias("_key")).agg(first)
+    kept = first.select(F.col("_first.doc_id").alias("_kept"), F.col("_first.text_key").alias("_text_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.xxhash64("text") == F.col("_text_key"))
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def without_spans(text: bytes, cuts: list[dict]) -> bytes | None:

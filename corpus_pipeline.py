@@ -18,8 +18,8 @@ STAGES = [
     ("substring_dedup", stages.repeated_spans),
     ("packing", stages.pack),
 ]
-#: Code lengths, components of near copies and tokenization are beyond SQL. The operators are tested against brute force;
-#: a test of the stages as a whole is still to come.
+#: Code lengths, components of near copies and tokenization are beyond SQL: the operators and all stages in a row are
+#: tested against brute force instead.
 ORACLE_SQL = None
 
 

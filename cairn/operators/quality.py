@@ -59,6 +59,22 @@ def unmatched(df: DataFrame, column: str, ref: DataFrame, ref_key: str) -> DataF
     return df.join(ref.select(F.col(ref_key).alias("_ref")).distinct(), F.col(f"`{column}`") == F.col("_ref"), "left_anti")
 
 
+def _optional(test: dict, have: dict) -> dict:
+    """Checks a contract may ask for: how many nulls a column may have, how many values must fit a pattern, and how old
+    the newest value may be.  A column that is missing is the schema check's business."""
+    out, rows = {}, F.count(F.lit(1))
+    if (t := test.get("null_share")) and t["column"].lower() in have:
+        nulls = F.count_if(F.col(t["column"]).isNull())
+        out[f"null_share:{t['column']}"] = F.when(nulls > rows * float(t["most"]), nulls).otherwise(0)
+    if (t := test.get("coverage")) and t["column"].lower() in have:
+        lost = F.count_if(~F.coalesce(F.rlike(t["column"], F.lit(t["pattern"])), F.lit(False)))
+        out[f"coverage:{t['column']}"] = F.when(lost > rows * (1 - float(t["least"])), lost).otherwise(0)
+    if (t := test.get("freshness")) and t["column"].lower() in have:
+        newest = F.max(F.col(t["column"]).cast("timestamp"))
+        out[f"freshness:{t['column']}"] = F.when(newest >= F.lit(str(t["not_before"])).cast("timestamp"), 0).otherwise(1)
+    return out
+
+
 def run(df: DataFrame, columns: list[dict], key: list[str] = (), partition: tuple[str, str, str] | None = None, tests: list[dict] = (), foreign_keys: list[tuple[str, DataFrame, str]] = ()) -> Report:
     """``partition``: (column, grain, key); ``tests``: the contract's list, each a mapping of one name."""
     have = {c.lower(): c for c in df.columns}
@@ -81,6 +97,7 @@ def run(df: DataFrame, columns: list[dict], key: list[str] = (), partition: tupl
     for t in tests:
         if "reconcile" in t:
             checks[f"reconcile:{t['reconcile']['name']}"] = F.count_if(~F.expr(rule_sql(t["reconcile"]["expression"])))
+        checks |= _optional(t, have)
     if partition:
         text = F.date_format(partition[0], "yyyy-MM") if partition[1] == "month" and types.get(partition[0]) == "date" else F.col(partition[0]).cast("string")
         checks |= {"lo": F.min(text), "hi": F.max(text)}

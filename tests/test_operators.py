@@ -138,3 +138,19 @@ def test_transform_and_metric(spark):
     assert [tuple(r) for r in metric(df, spec, ["year"]).collect()] == [(2021, 2)]
     with pytest.raises(ValueError):
         metric(df, spec, ["b"])
+
+
+def test_optional_checks(spark):
+    from cairn.operators import quality
+
+    df = spark.createDataFrame([("SYR", "2024-01-02"), ("AFG", None), ("x1", None), (None, "2023-05-01")], "iso string, seen string")
+    columns = [{"name": "iso", "type": "STRING"}, {"name": "seen", "type": "STRING"}]
+
+    def found(*tests, rows=df):
+        return {r.name: r.violations for r in quality.run(rows, columns, tests=list(tests)).results if ":" in r.name}
+
+    iso = lambda least: {"coverage": {"column": "iso", "pattern": "^[A-Z]{3}$", "least": least}}
+    assert found({"null_share": {"column": "seen", "most": 0.5}}, iso(0.5), {"freshness": {"column": "seen", "not_before": "2024-01-01"}}) == {"null_share:seen": 0, "coverage:iso": 0, "freshness:seen": 0}
+    assert found({"null_share": {"column": "seen", "most": 0.4}}, iso(0.6), {"freshness": {"column": "seen", "not_before": "2024-02-01"}}) == {"null_share:seen": 2, "coverage:iso": 2, "freshness:seen": 1}
+    assert found({"null_share": {"column": "gone", "most": 0}}) == {}
+    assert found({"freshness": {"column": "seen", "not_before": "2024-01-01"}}, iso(1), rows=df.limit(0)) == {"freshness:seen": 1, "coverage:iso": 0}

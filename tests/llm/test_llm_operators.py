@@ -83,6 +83,25 @@ def test_packing_covers_every_token_once(spark, odd_docs):
     assert packing.pack(odd_docs.limit(0), path).count() == 0
 
 
+@pytest.mark.parametrize("ranks", [True, False])
+def test_packing_takes_added_tokens_as_the_library_does(spark, ranks, tmp_path):
+    import shutil
+
+    from tokenizers import Tokenizer
+
+    path = tokenizer("byte_bpe_50k.json")
+    if not ranks:  # a vocabulary without ranks beside it
+        path = shutil.copy(path, tmp_path / "alone.json")
+    t = Tokenizer.from_file(str(path))
+    end = "<|endoftext|>"
+    texts = [f"end {end} begin", end, end * 3, f"é{end}\n{end} 日本 ", f"<|endoftext {end[1:]} |>", "one two " * 800 + end + " three" * 800, "none"]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), str(path)).orderBy("doc_id", "start").collect()
+    for i, text in enumerate(texts):
+        own = [r for r in rows if r.doc_id == i]
+        want = [*t.encode(text, add_special_tokens=False).ids, 0]
+        assert np.frombuffer(b"".join(bytes(r.ids) for r in own), dtype="<u4").tolist() == want and {r.doc_tokens for r in own} == {len(want)}
+
+
 def test_packer_places_best_fit_and_sends_the_fullest():
     p = packing.Packer(10, 2, 0)
     ids = lambda n: np.arange(n, dtype="<u4")

@@ -229,6 +229,20 @@ def plan_items(spark, d):
     return plan.select("entity", "partition_key", F.size("inputs").cast("long").alias("n_inputs"), F.array_join(F.transform("inputs", lambda i: i["content_hash"]), ",").alias("versions"))
 
 
+@query(_FILES_SQL + """, l AS (SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY version DESC) AS rn FROM f),
+k AS (SELECT 'first' AS entity, y AS partition_key, version FROM l WHERE rn = 1 AND source_id = 'src1'
+UNION ALL SELECT 'second', y || '-' || lpad(CAST(m AS VARCHAR), 2, '0'), version FROM l, range(1, 13) r(m) WHERE rn = 1 AND file_path LIKE '%0.parquet')
+SELECT entity, partition_key, count(*) AS n_inputs, string_agg(CAST(version AS VARCHAR), ',' ORDER BY version) AS versions FROM k GROUP BY entity, partition_key""")
+def plan_all_items(spark, d):
+    """As plan_items, over every source, route and entity."""
+    files = _files(spark, d)
+    links = R.expand_partitions(control.route(files, control.routes(spark, ROUTES)))
+    dirty = control.mark_dirty(spark.createDataFrame([], control.DIRTY), links, "2024-01-01")
+    manifest = files.select("file_path", "content_hash", "discovered_at", F.col("start").alias("coverage_start"), F.col("end").alias("coverage_end"), F.lit("pending").alias("status"))
+    plan = control.plan(dirty, links, manifest)
+    return plan.select("entity", "partition_key", F.size("inputs").cast("long").alias("n_inputs"), F.array_join(F.transform("inputs", lambda i: i["content_hash"]), ",").alias("versions"))
+
+
 @query(_FILES_SQL + """ SELECT file_path, version, version < max(version) OVER (PARTITION BY file_path) AS superseded FROM f""")
 def manifest_supersede(spark, d):
     return control.supersede(_files(spark, d), "file_path", "version").select("file_path", "version", "superseded")

@@ -54,7 +54,7 @@ def url_tokens() -> Column:
     return F.when(F.col("host") == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(first, F.transform(domains(F.col("host")), lambda d: F.concat(F.lit("d:"), d)), placed, names)))
 
 
-def mine(spark: SparkSession, labelled: DataFrame, min_support: float = 0.02, min_confidence: float = 0.9, max_tokens: int = 3) -> DataFrame:
+def mine(spark: SparkSession, labelled: DataFrame, min_support: float = 0.02, min_confidence: float = 0.9) -> DataFrame:
     """rule (id), tokens, confidence, support from a frame (url, block): token combinations that go with block."""
     from pyspark.ml.fpm import FPGrowth
 
@@ -64,7 +64,7 @@ def mine(spark: SparkSession, labelled: DataFrame, min_support: float = 0.02, mi
     if items.isEmpty():
         return spark.sql("SELECT 0L AS rule, array('') AS tokens, 0D AS confidence, 0D AS support WHERE false")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    rules = model.associationRules.where((F.array_join("consequent", " ") == "=block") & (F.size("antecedent") <= max_tokens))
+    rules = model.associationRules.where(F.array_join("consequent", " ") == "=block")
     rules = durable(rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support").withColumn("rule", F.xxhash64("tokens")), "url-rules")
     return general(rules)
 

@@ -367,6 +367,14 @@ def test_mined_rules_equal_brute_force(spark):
     assert url_rules.mine(spark, labelled.limit(0)).count() == 0
 
 
+def test_mined_rules_of_many_tokens(spark):
+    """Only five names together tell block: any four of them are as often allowed."""
+    names = "abcde"
+    rows = [(names, True)] * 12 + [(names.replace(x, ""), False) for x in names for _ in range(4)]
+    labelled = spark.createDataFrame([(f"http://h.org/?{'&'.join(f'{x}=1' for x in q)}", b) for q, b in rows], "url string, block boolean")
+    assert [r.tokens for r in url_rules.mine(spark, labelled, 0.05, 0.9).collect()] == [[f"q:{x}" for x in names]]
+
+
 def _spans(texts, window):
     words = [(t or "").encode().split() for t in texts]
     seen = Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))

@@ -13,7 +13,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
 
     Each round points every node at the least node it knows, first from its larger neighbours, then
     from its smaller ones, until the links no longer change: about log2 of a component's breadth.
-    Null ends, self links and repeats are ignored.
+    Links that still change after ``rounds`` rounds are an error.  Null ends, self links and repeats are ignored.
     """
     edges = links.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("m")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()
     edges = durable(edges, "links")
@@ -29,6 +29,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         if now == seen:
             break
         seen = now
+    else:
+        if seen[0]:
+            raise RuntimeError(f"links still change after {rounds} rounds: components would be split")
     # every node now hangs on its component's least node
     return edges.groupBy(F.col("v").alias("node")).agg(F.min("m").alias("label")).union(edges.select(F.col("m").alias("node"), F.col("m").alias("label")).distinct())
 

@@ -83,6 +83,16 @@ def test_packing_covers_every_token_once(spark, odd_docs):
     assert packing.pack(odd_docs.limit(0), path).count() == 0
 
 
+def test_components_settle_or_raise(spark):
+    from cairn.llm.components import components
+
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    assert {(r.node, r.label) for r in components(path).collect()} == {(i, 0) for i in range(41)}
+    assert components(path.limit(0)).count() == 0
+    with pytest.raises(RuntimeError):
+        components(path, rounds=2)
+
+
 @pytest.mark.parametrize("ranks", [True, False])
 def test_packing_takes_added_tokens_as_the_library_does(spark, ranks, tmp_path):
     import shutil

@@ -4,6 +4,8 @@ A line's key is the line without ASCII white space at its ends and with A-Z in l
 least ``min_chars`` code points that ``min_docs`` documents hold lose all their lines except in the
 largest document id that holds them; every other line stays.
 
+A key is told from others by 128 bits of hash, so that no line goes for another's sake.
+
 Plan: (1) each task keeps, for a key, only its ``min_docs`` largest documents - enough to tell both
 whether the key is common and who keeps it, so a line that a third of the corpus shares sends a few
 rows a task; (2) these rows are range-partitioned by the key's hash with a secondary sort by document,
@@ -22,10 +24,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from cairn.llm.common import Store, by_range, framed, new_path, out_schema, slices, with_row, write_store
+from cairn.llm.common import Store, by_range, digests, framed, new_path, out_schema, slices, with_row, write_store
 
 NULL_ID = -(1 << 63)
 STATE = 200_000
@@ -39,35 +41,44 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
     return key
 
 
-def _hash(key: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(key) - (1 << 63)
+def keyed_lines(texts: pa.Array, min_chars: int) -> tuple[list[int], list[int], list[int], np.ndarray, np.ndarray]:
+    """Lines of each text; for every line with a key, its text and place, and the two longs of its key's hash."""
+    total, owner, place, keys = [], [], [], []
+    for row, t in enumerate(texts):
+        lines = (t.as_py() or "").encode("utf-8").split(b"\n")
+        total.append(len(lines))
+        for at, line in enumerate(lines):
+            if (key := line_key(line, min_chars)) is not None:
+                keys.append(key)
+                owner.append(row)
+                place.append(at)
+    return total, owner, place, *digests(keys)
 
 
 def common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """(key long, keeper long): hash of each common line and the document that keeps it."""
+    """(key, low, keeper): hash of each common line (128 bits, in two longs) and the document that keeps it."""
 
     def largest(batches):
-        held: dict[int, list[int]] = {}
+        held: dict[tuple[int, int], list[int]] = {}
 
         def flush():
-            ks = [k for k, v in held.items() for _ in v]
-            ds = [d for v in held.values() for d in v]
+            rows = [(*k, d) for k, v in held.items() for d in v]
             held.clear()
-            return pa.RecordBatch.from_pydict({"key": pa.array(ks, pa.int64()), "doc": pa.array(ds, pa.int64())})
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)] or [pa.array([], pa.int64())] * 3, names=["key", "low", "doc"])
 
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                doc = NULL_ID if i is None else i
-                for line in (t.as_py() or "").encode("utf-8").split(b"\n"):
-                    if (key := line_key(line, min_chars)) is None:
-                        continue
-                    own = held.setdefault(_hash(key), [])
+            for part in slices(batch, "_text"):
+                ids = [NULL_ID if i is None else i for i in part.column(0).to_pylist()]
+                _, owner, _, high, low = keyed_lines(part.column(1), min_chars)
+                for row, key in zip(owner, zip(high.tolist(), low.tolist())):
+                    doc = ids[row]
+                    own = held.setdefault(key, [])
                     if doc in own:
                         continue
                     if len(own) < min_docs:
                         own.append(doc)
-                    elif doc > (low := min(own)):
-                        own[own.index(low)] = doc
+                    elif doc > (least := min(own)):
+                        own[own.index(least)] = doc
                 if len(held) > STATE:
                     yield flush()
         yield flush()
@@ -75,8 +86,8 @@ def common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def keepers(batches):
         key, last, keeper, n = None, None, None, 0
         for batch in batches:
-            ks, ds = [], []
-            for k, d in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found = []
+            for *k, d in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if k != key:
                     key, last, keeper, n = k, d, d, 1
                 elif d != last:
@@ -84,36 +95,26 @@ def common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 else:
                     continue
                 if n == min_docs:
-                    ks.append(key)
-                    ds.append(keeper)
-            yield pa.RecordBatch.from_pydict({"key": pa.array(ks, pa.int64()), "keeper": pa.array(ds, pa.int64())})
-
-    from pyspark.sql import functions as F
+                    found.append((*key, keeper))
+            columns = [pa.array(x, pa.int64()) for x in zip(*found)] or [pa.array([], pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "low", "keeper"])
 
-    rows = framed(docs, id_col, text_col, False).mapInArrow(largest, "key long, doc long")
-    return by_range(rows, "key", F.desc("doc")).mapInArrow(keepers, "key long, keeper long")
+    rows = framed(docs, id_col, text_col, False).mapInArrow(largest, "key long, low long, doc long")
+    return by_range(rows, "key", "low", F.desc("doc")).mapInArrow(keepers, "key long, low long, keeper long")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5, carry: bool = False) -> DataFrame:
     """doc_id, n_lines, n_dropped, keep_bits (zlib of one bit a line, first line first) and, with carry, row."""
     path = new_path(docs.sparkSession, "lines")
-    write_store(common_lines(docs, id_col, text_col, min_chars, min_docs), "key", {"keeper": "int64"}, path)
+    write_store(common_lines(docs, id_col, text_col, min_chars, min_docs), "key", {"keeper": "int64"}, path, low="low")
     frame = framed(docs, id_col, text_col, carry)
 
     def judge(batches):
         for batch in batches:
             for part in slices(batch, "_text"):
                 ids = [NULL_ID if i is None else i for i in part.column(0).to_pylist()]
-                keys, owner, place, total = [], [], [], []
-                for row, t in enumerate(part.column(1)):
-                    lines = (t.as_py() or "").encode("utf-8").split(b"\n")
-                    total.append(len(lines))
-                    for at, line in enumerate(lines):
-                        if (key := line_key(line, min_chars)) is not None:
-                            keys.append(_hash(key))
-                            owner.append(row)
-                            place.append(at)
-                rank, keeper = Store.open(path).find(np.array(keys, dtype=np.int64), "keeper")
+                total, owner, place, high, low = keyed_lines(part.column(1), min_chars)
+                rank, keeper = Store.open(path).find(high, "keeper", low=low)
                 own = np.array(owner, dtype=np.int64)
                 lose = np.flatnonzero((rank >= 0) & (keeper != np.array(ids, dtype=np.int64)[own])) if len(own) else np.zeros(0, np.int64)
                 begin = np.cumsum([0, *total])

@@ -5,9 +5,11 @@ duration and the byte ranges of key frames, without decoding - or touching - a p
 follows the same tables to a track's stored bytes.  ``mux`` writes a file: one video track of raw 8 x 8
 RGB frames (192 bytes a sample) with a sync sample every ``gop`` frames.
 
-Defined cases: null stays null; a file that is cut short, has no movie box or has tables that contradict
-each other gives status ``corrupt`` and null features; boxes of unknown types are skipped; a movie
-without samples has no key frames.
+Defined cases: null stays null; a file that is cut short, has no movie box, has tables that contradict
+each other or claim more than the file can hold, or nests boxes more than ``DEPTH`` deep gives status ``corrupt`` and
+null features; nothing is allocated for a claim before it is checked against the file's size, and boxes are walked with
+a stack of their own.  Boxes of unknown types are skipped; a movie without samples has no key frames; ids may be null
+or repeat; other columns, whatever their names, are ignored, or kept in ``row``.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from cairn.llm.common import framed, out_schema, slices, small_batches, with_row
 #: Fixed values of the format: boxes that hold boxes.
 CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"edts", b"dinf"}
 FRAME, CHUNK, GOP, RATE = 192, 32, 16, 25
+#: The format needs seven levels (moov, trak, mdia, minf, stbl, stsd, entry).
+DEPTH = 32
 
 
 def box(kind: bytes, *parts: bytes) -> bytes:
@@ -79,30 +83,40 @@ def mux(payload: bytes, frame: int = FRAME, chunk: int = CHUNK, gop: int = GOP,
     return head + data + movie
 
 
-def walk(data, lo: int = 0, hi: int | None = None, path: tuple = ()):
+def walk(data, lo: int = 0, hi: int | None = None):
     """(path, begin, end) of each box's body, parents before their children."""
-    hi = len(data) if hi is None else hi
-    while lo < hi:
-        if hi - lo < 8:
+    open_boxes: list[tuple[tuple, int]] = [((), len(data) if hi is None else hi)]  # (path, end), the innermost last
+    while open_boxes:
+        path, end = open_boxes[-1]
+        if lo >= end:
+            open_boxes.pop()
+            continue
+        if end - lo < 8:
             raise ValueError("a box is cut short")
         size, kind = struct.unpack_from(">I4s", data, lo)
         begin = lo + 8
         if size == 1:
-            if hi - lo < 16:
+            if end - lo < 16:
                 raise ValueError("a box is cut short")
             size, begin = struct.unpack_from(">Q", data, begin)[0], begin + 8
         elif size == 0:
-            size = hi - lo
-        if size < begin - lo or lo + size > hi:
+            size = end - lo
+        if size < begin - lo or lo + size > end:
             raise ValueError("a box leaves its parent")
         here = (*path, kind)
         yield here, begin, lo + size
         if kind in CONTAINERS:
-            yield from walk(data, begin, lo + size, here)
-        lo += size
+            if len(here) > DEPTH:
+                raise ValueError("boxes nested too deep")
+            open_boxes.append((here, lo + size))
+            lo = begin
+        else:
+            lo += size
 
 
 def _table(data, begin: int, end: int, fields: int, kind: str = ">u4") -> np.ndarray:
+    if begin + 8 > end:
+        raise ValueError("a table is cut short")
     count = struct.unpack_from(">I", data, begin + 4)[0]
     width = np.dtype(kind).itemsize * fields
     if begin + 8 + count * width > end:
@@ -110,10 +124,35 @@ def _table(data, begin: int, end: int, fields: int, kind: str = ">u4") -> np.nda
     return np.frombuffer(data, dtype=kind, count=count * fields, offset=begin + 8).astype(np.int64).reshape(count, fields)
 
 
+def _sizes(data, begin: int, end: int, room: int) -> np.ndarray:
+    """Sizes of all samples: from the table, or one size for all.  ``room``: bytes that other tracks leave."""
+    if begin + 12 > end:
+        raise ValueError("a table is cut short")
+    fixed, n = struct.unpack_from(">II", data, begin + 4)
+    if not fixed:
+        sizes = _table(data, begin + 4, end, 1)[:, 0]
+        if sizes.sum() > room:
+            raise ValueError("more samples than the file holds")
+        return sizes
+    if fixed * n > room:
+        raise ValueError("more samples than the file holds")
+    return np.full(n, fixed, dtype=np.int64)
+
+
+def _samples_of_chunks(runs: np.ndarray, chunks: int) -> np.ndarray:
+    """How many samples each chunk has, from the runs (first chunk, samples, description)."""
+    first = runs[:, 0]
+    if not len(runs) or not chunks:
+        return np.zeros(0, np.int64)
+    if first[0] != 1 or first[-1] > chunks or (np.diff(first) <= 0).any():
+        raise ValueError("runs of chunks that the file does not have")
+    return np.repeat(runs[:, 1], np.diff(np.append(first, chunks + 1)))
+
+
 def tracks(data) -> list[dict]:
     """Each track: handler, codec, timescale, duration, offsets, sizes and keys (0-based) of its samples."""
     found: list[dict] = []
-    seen = False
+    seen, room = False, len(data)
     for path, a, b in walk(data):
         kind, inside = path[-1], path[:-1]
         seen |= path == (b"moov",)
@@ -129,8 +168,8 @@ def tracks(data) -> list[dict]:
         elif kind == b"stsd":
             t["codec"] = bytes(data[a + 12 : a + 16]).decode("latin-1").strip() if b - a >= 16 else None
         elif kind == b"stsz":
-            fixed, n = struct.unpack_from(">II", data, a + 4)
-            t["sizes"] = np.full(n, fixed, dtype=np.int64) if fixed else _table(data, a + 4, b, 1)[:, 0]
+            t["sizes"] = _sizes(data, a, b, room)
+            room -= int(t["sizes"].sum())
         elif kind in (b"stts", b"stsc"):
             t[kind.decode()] = _table(data, a, b, 2 if kind == b"stts" else 3)
         elif kind in (b"stco", b"co64"):
@@ -142,7 +181,7 @@ def tracks(data) -> list[dict]:
     for t in found:
         sizes, chunks, runs = t.get("sizes", np.zeros(0, np.int64)), t.get("chunks", np.zeros(0, np.int64)), t.get("stsc", np.zeros((0, 3), np.int64))
         n = len(sizes)
-        each = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0], len(chunks) + 1))) if len(runs) else np.zeros(0, np.int64)
+        each = _samples_of_chunks(runs, len(chunks))
         if len(each) != len(chunks) or each.sum() != n or ("stts" in t and t["stts"][:, 0].sum() != n):
             raise ValueError("the sample tables contradict each other")
         ends = np.cumsum(sizes)

@@ -1,21 +1,28 @@
-"""Language-model scoring: an interpolated modified Kneser-Ney bigram model.
+"""Language-model scoring: an interpolated modified Kneser-Ney model of order 2 or 3.
 
-Words are counted in Spark and get dense ids, their ranks in a store of sorted hashes; pairs of ids are
-counted in Spark, range-partitioned by the first word, and each range is written as sorted arrays.
-Workers memory-map these arrays and score whole texts.  Nothing is sampled, pruned or collected: the
-arrays grow with the corpus, and the driver sees a line of metadata a shard and a few totals.
+Words are counted in Spark and get dense ids, their ranks in a store of sorted hashes; n-grams of ids are counted
+in Spark, dealt out by their last word but one, and each part is written as a trie of sorted arrays: the word before
+(v), the word (w) and, at order 3, the word two before (u), with offsets from each level to the next.  Workers
+memory-map these arrays and score whole texts.  Nothing is sampled, pruned or collected: the arrays grow with the
+corpus, and the driver sees a line of metadata a file and a few totals.
 
-    p(w | v) = max(c(vw) - D(c(vw)), 0) / c(v.) + g(v) p(w),  g(v) = (D1 n1(v) + D2 n2(v) + D3 n3+(v)) / c(v.)
-    p(w)     = max(N(.w) - D'(N(.w)), 0) / N(..) + l / (V + 1)
+    p3(w | uv) = max(c(uvw) - D3, 0) / c(uv.) + g(uv) p2(w | v)
+    p2(w | v)  = max(a(vw) - D2, 0) / a(v.) + g(v) p1(w)
+    p1(w)      = max(N(.w) - D1, 0) / N(..) + l / (V + 1)
 
-c: counts; N: numbers of distinct left neighbours; D, D': the three discounts from counts of counts; n1, n2,
-n3+: how many words follow v once, twice, more often; l: what the discounts leave.  The unknown word has the
-last term alone; after an unknown word p(w) is used.  Each text begins with a start mark and ends with an
-end mark, which is a token.
+c: counts; N: numbers of distinct left neighbours; a(vw): N(.vw), but the count where v is the start mark (at order 2
+the count everywhere, and the second line is the model); each order has three discounts, from counts of counts; g(h):
+what the discounts leave of h's total, l: of N(..).  The unknown word has the last term alone; after a context never
+seen the next shorter one is used.  Each text begins with a start mark and ends with an end mark, which is a token.
+
+Hot keys: a word with more than a quarter of a part's share of the tokens is dealt over as many parts as that calls
+for, by the word after it; a pair of two such words once more by the word before it.  What then falls to several parts
+is partial and added up afterwards.  Contexts seen once are not stored: they are those whose pair is in the trie and
+that are not in the store of contexts.
 
 Defined cases: a null or empty text is the end mark alone; a null id is neither learnt from nor held out; ids
 may repeat (rows are judged one by one); with nothing to learn from, every token is unknown; columns
-besides id and text are ignored.
+besides id and text are ignored; any number of distinct words has ids (beyond 2**31 - 2 they no longer share a long).
 """
 
 from __future__ import annotations
@@ -24,14 +31,18 @@ import json
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import Store, framed, get_file, new_path, put_array, put_file, slices, sweep, write_store
+from cairn.llm.common import Store, cached_array, durable, forget, framed, get_file, new_path, put_array, put_file, slices, tidy, write_store
 from cairn.llm.words import Words, mix
 
 END = int(mix(np.array([0xE0D], dtype=np.uint64)).view(np.int64)[0])
-SEND, SHARD = 2_000_000, 4_000_000
+SEND, SHARD, ORDER = 2_000_000, 4_000_000, 3
+#: Ids below this and two marks share a long with a neighbour's.
+NARROW = (1 << 31) - 2
+WORD, CONTEXT, HEAVY = 0, 1, 2
+STATS = ["kind", "a", "b", "c", "n1", "n2", "n3", "cont"]
 
 
 def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -40,24 +51,37 @@ def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(w.hashes.view(np.int64), w.first[1:], END), w.first + np.arange(len(w.first))
 
 
+def _merged(cols: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Rows sorted by ``cols``: equal ones become one, with the sum of their counts."""
+    if not len(n):
+        return cols, n
+    differ = np.zeros(len(n) - 1, dtype=bool)
+    for c in cols:
+        differ |= c[1:] != c[:-1]
+    cut = np.flatnonzero(np.append(True, differ))
+    return [c[cut] for c in cols], np.add.reduceat(n, cut)
+
+
 def _send(batches, make, names):
-    """Adds up (key, n) arrays in chunks of about SEND keys, then hands them on."""
-    keys, size = [], 0
+    """Adds up rows of longs in chunks of about SEND, then hands them on, sorted, with their number."""
+    held, size = [], 0
 
     def flush():
-        k, n = np.unique(np.concatenate(keys), return_counts=True)
-        keys.clear()
-        for i in range(0, len(k), 250_000):
-            yield pa.RecordBatch.from_arrays([pa.array(k[i : i + 250_000]), pa.array(n[i : i + 250_000])], names=names)
+        cols = [np.concatenate(x) for x in zip(*held)]
+        held.clear()
+        order = np.argsort(cols[0]) if len(cols) == 1 else np.lexsort(cols[::-1])
+        cols, n = _merged([c[order] for c in cols], np.ones(len(order), np.int64))
+        for i in range(0, len(n), 250_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 250_000]) for c in (*cols, n)], names=names)
 
     for batch in batches:
         for part in slices(batch, "_text"):
-            keys.append(make(part.column(1)))
-            size += len(keys[-1])
+            held.append(make(part.column(1)))
+            size += len(held[-1][0])
             if size > SEND:
                 yield from flush()
                 size = 0
-    if keys:
+    if held:
         yield from flush()
 
 
@@ -67,122 +91,299 @@ def discounts(n: list[int]) -> list[float]:
     return [0.5 * k if y is None or not n[k - 1] or not n[k] else min(float(k), max(0.05 * k, k - (k + 1) * y * n[k] / n[k - 1])) for k in (1, 2, 3)]
 
 
-def _count_pairs(train: DataFrame, words: str, size: int, path: str) -> tuple[DataFrame, int]:
-    """Writes the pairs' counts under ``path``; gives partial statistics of each word id (a frame) and the number of ranges."""
-    spark = train.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    start = size  # the id of the start mark
+class Parts:
+    """Which part an n-gram of ids falls to."""
+
+    def __init__(self, ranges: int, ids: int, hot: list[int], splits: list[int]):
+        self.ranges, self.ids = ranges, ids
+        self.hot, self.splits = np.array(hot, dtype=np.int64), np.array(splits, dtype=np.int64)
+
+    def spread(self, ids: np.ndarray) -> np.ndarray:
+        """How many parts each word is dealt over; 1 for all but the hot ones."""
+        if not len(self.hot):
+            return np.ones(len(ids), dtype=np.int64)
+        i = np.minimum(np.searchsorted(self.hot, ids), len(self.hot) - 1)
+        return np.where(self.hot[i] == ids, self.splits[i], 1)
+
+    def heavy(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return (self.spread(v) > 1) & (self.spread(w) > 1)
+
+    def of(self, v: np.ndarray, w: np.ndarray, u: np.ndarray | None) -> np.ndarray:
+        any_of = lambda x, n: (mix(x.astype(np.uint64)) >> np.uint64(1)).astype(np.int64) % n
+        sv, sw = self.spread(v), self.spread(w)
+        at = (v.astype(np.float64) * (self.ranges / self.ids)).astype(np.int64) + np.where(sv > 1, any_of(w, sv), 0)
+        if u is not None:
+            at += np.where((sv > 1) & (sw > 1), any_of(u, sw), 0)
+        return at % self.ranges
+
+
+def _context_key(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return mix(mix(v.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + u.astype(np.uint64)).view(np.int64)
+
+
+def hot_words(spark: SparkSession, words: str, limit: float) -> list[tuple[int, int]]:
+    """(id, count) of the words seen more than ``limit`` times: total / limit of them at most."""
+    files = len(json.loads(get_file(f"{words}/meta.json"))["files"])
+
+    def scan(batches):
+        store = Store(words)
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                c = store.array(i, "c")
+                at = np.flatnonzero(c > limit)
+                yield pa.RecordBatch.from_arrays([pa.array(at + store.base[i]), pa.array(c[at].astype(np.int64))], names=["id", "c"])
+
+    return sorted((r.id, r.c) for r in spark.range(files).mapInArrow(scan, "id long, c long").collect())
+
+
+def _count_grams(train: DataFrame, words: str, size: int, order: int, parts: Parts, path: str, wide: bool) -> DataFrame:
+    """Writes the trie's parts under ``path``; gives partial statistics (``STATS``): of words (a: id), of contexts of two
+    words (a: key, b: the first of them) and of pairs of two hot words (a, b: the pair)."""
+    start, none = size, size + 1
+    names = (["v", "w"] if wide else ["k"]) + (["u"] if order == 3 else [])
+    narrow = np.int64 if wide else np.int32
 
     def make(col):
         h, first = tokens(col)
-        u, inv = np.unique(h, return_inverse=True)
-        ids = Store.open(words).find(u)[0][inv]
-        prev = np.empty_like(ids)
-        prev[1:] = ids[:-1]
-        prev[first[:-1]] = start
-        return prev << 32 | ids
+        uniq, inv = np.unique(h, return_inverse=True)
+        w = Store.open(words).find(uniq)[0][inv]
+        v, u = np.empty_like(w), np.empty_like(w)
+        v[1:], u[2:] = w[:-1], w[:-2]
+        begin = first[:-1]
+        second = begin + 1
+        u[second[second < first[1:]]] = start
+        v[begin], u[begin] = start, none
+        rows = [parts.of(v, w, u if order == 3 else None), *([v, w] if wide else [v << 32 | w])]
+        return rows + [u] * (order == 3)
 
     def write(batches):
         from pyspark import TaskContext
 
         at = TaskContext.get().partitionId()
-        shards, counts = [], np.zeros(4, dtype=np.int64)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        carry, size = None, 0
-
-        def merged(k, n):
-            cut = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-            return k[cut], np.add.reduceat(n, cut)
-
-        def flush():
-            k, n = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
+        files, counts = [], np.zeros((order + 1, 6), dtype=np.int64)
+        held: list[list[np.ndarray]] = []
+        carry, waiting = None, 0
+
+        def stats(kind, a, b, c=None, some=(None, None, None), cont=None):
+            fill = lambda x: np.zeros(len(a), np.int64) if x is None else x
+            cols = [np.full(len(a), kind), a, fill(b), fill(c), *map(fill, some), fill(cont)]
+            for i in range(0, len(a), 250_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 250_000], pa.int64()) for x in cols], names=STATS)
+
+        def sums(cut, x):
+            return [np.add.reduceat(y.astype(np.int64), cut) for y in (x, x == 1, x == 2, x >= 3)]
+
+        def flush(cols, n):
+            v, w, *u = cols
+            name = f"{at:06d}-{len(files):04d}"
+            two = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (w[1:] != w[:-1])))
+            one = np.flatnonzero(np.append(True, v[two][1:] != v[two][:-1]))
+            files.append((name, len(two), int(v[0]), int(w[0])))
+            count = n.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.int64) if n.max() <= np.iinfo(t).max))
+            arrays = {"v": v[two][one].astype(narrow), "v.at": np.append(one, len(two)), "w": w[two].astype(narrow), "n": count}
+            if order == 3:
+                arrays |= {"w.at": np.append(two, len(n)), "u": u[0].astype(narrow)}
+            for k, x in arrays.items():
+                put_array(f"{path}/{name}.{k}.npy", x)
+            counts[order] += np.bincount(np.minimum(n[v != start] if order == 3 else n, 5), minlength=6)
+            pv, pw, pn = v[two], w[two], n[two]
+            if order == 3:  # how many words stand before the pair; after the start mark, how often it was seen
+                pn = np.where(pv == start, pn, np.diff(np.append(two, len(n))))
+                heavy = parts.heavy(pv, pw)
+                yield from stats(HEAVY, pv[heavy], pw[heavy], pn[heavy])
+                pv, pw, pn = pv[~heavy], pw[~heavy], pn[~heavy]
+                counts[2] += np.bincount(np.minimum(pn, 5), minlength=6)
+                inner = np.flatnonzero(v != start)
+                by = inner[np.lexsort((u[0][inner], v[inner]))]
+                if len(by):
+                    cv, cu, cn = v[by], u[0][by], n[by]
+                    cut = np.flatnonzero(np.append(True, (cv[1:] != cv[:-1]) | (cu[1:] != cu[:-1])))
+                    c, *some = sums(cut, cn)
+                    keep = (c > 1) | (parts.spread(cv[cut]) > 1)  # else whole, and seen once
+                    yield from stats(CONTEXT, _context_key(cu[cut], cv[cut])[keep], cu[cut][keep], c[keep], [x[keep] for x in some])
+            if len(pv):
+                cut = np.flatnonzero(np.append(True, pv[1:] != pv[:-1]))
+                c, *some = sums(cut, pn)
+                yield from stats(WORD, pv[cut], None, c, some)
+                uniq, cont = np.unique(pw, return_counts=True)
+                yield from stats(WORD, uniq, None, cont=cont)
+
+        def cut_of(cols):
+            """Where a file may end: before the last word (v), or, if that is a hot one, before its last pair."""
+            v, w = cols[0], cols[1]
+            last = int(np.searchsorted(v, v[-1]))
+            if parts.spread(v[-1:])[0] > 1:
+                last += int(np.searchsorted(w[last:], w[-1]))
+            return last
+
+        def some(whole: bool):
+            cols = [np.concatenate(x) for x in zip(*held)]
             held.clear()
-            name = f"{at:06d}-{len(shards):04d}"
-            put_array(f"{path}/{name}.key.npy", k)
-            put_array(f"{path}/{name}.n.npy", n.astype(np.int32 if n.max() < 1 << 31 else np.int64))
-            shards.append((name, len(k), int(k[0]), int(k[-1])))
-            counts[:] += np.bincount(np.minimum(n, 5), minlength=6)[1:5]
-            v, w = k >> 32, k & 0xFFFFFFFF
-            cut = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
-            nw, cont = np.unique(w, return_counts=True)
-            zero = np.zeros(len(nw), dtype=np.int64)
-            each = [np.add.reduceat(x.astype(np.int64), cut) for x in (n, n == 1, n == 2, n >= 3)]
-            yield stats(v[cut], *each, np.zeros(len(cut), dtype=np.int64))
-            yield stats(nw, zero, zero, zero, zero, cont)
-
-        def stats(*cols):
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "c", "n1", "n2", "n3", "cont"])
+            cut = len(cols[0]) if whole else cut_of(cols)
+            if cut:
+                yield from flush([c[:cut] for c in cols[:-1]], cols[-1][:cut])
+            if cut < len(cols[0]):
+                held.append([c[cut:] for c in cols])
 
         for b in batches:
             if not b.num_rows:
                 continue
-            k, n = b.column(0).to_numpy(), b.column(1).to_numpy()
+            *key, n = (b.column(i).to_numpy() for i in range(1, b.num_columns))
+            cols = [*(key[:2] if wide else (key[0] >> 32, key[0] & 0xFFFFFFFF)), *(key[-1:] if order == 3 else [])]
             if carry is not None:
-                k, n = np.append(carry[0], k), np.append(carry[1], n)
-            k, n = merged(k, n)
-            carry = k[-1:], n[-1:]
-            held.append((k[:-1], n[:-1]))
-            size += len(k) - 1
-            if size > SHARD:
-                yield from flush()
-                size = 0
+                cols, n = [np.concatenate(x) for x in zip(carry[0], cols)], np.append(carry[1], n)
+            cols, n = _merged(cols, n)
+            carry = [c[-1:] for c in cols], n[-1:]
+            if len(n) > 1:
+                held.append([*(c[:-1] for c in cols), n[:-1]])
+                waiting += len(n) - 1
+            if waiting > SHARD:
+                yield from some(False)
+                waiting = sum(len(x[0]) for x in held)
         if carry is not None:
-            held.append(carry)
-            yield from flush()
-        put_file(f"{path}/part-{at:06d}.json", json.dumps({"shards": shards, "counts": counts.tolist()}).encode())
+            held.append([*carry[0], carry[1]])
+            yield from some(True)
+        put_file(f"{path}/part-{at:06d}.json", json.dumps({"files": files, "counts": counts[:, 1:5].tolist()}).encode())
 
-    pairs = train.mapInArrow(lambda batches: _send(batches, make, ["k", "n"]), "k long, n long")
-    part = F.floor(F.shiftright("k", 32) * ranges / F.lit(size + 1)).cast("int")
-    return pairs.repartitionById(ranges, part).sortWithinPartitions("k").mapInArrow(write, "id long, c long, n1 long, n2 long, n3 long, cont long"), ranges
+    rows = train.mapInArrow(lambda batches: _send(batches, make, ["part", *names, "n"]), ", ".join(f"{n} long" for n in ("part", *names, "n")))
+    rows = rows.repartitionById(parts.ranges, F.col("part").cast("int")).sortWithinPartitions(*names)
+    return rows.mapInArrow(write, ", ".join(f"{n} long" for n in STATS))
 
 
-def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> str:
-    """Counts and writes a model of all rows of ``docs``; returns its folder."""
+def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, wide: bool | None = None) -> str:
+    """Counts and writes a model of all rows of ``docs``; returns its folder.  ``wide``: whether ids take a long each
+    (by default where the words are too many for two of them to share one; the model is the same)."""
+    if order not in (2, 3):
+        raise ValueError(f"the order is 2 or 3, not {order}")
     spark = docs.sparkSession
     path = new_path(spark, "lm")
     frame = framed(docs, id_col, text_col, False)
-    counted = frame.mapInArrow(lambda batches: _send(batches, lambda col: tokens(col)[0], ["h", "n"]), "h long, n long").groupBy("h").agg(F.sum("n").alias("c"))
+    counted = frame.mapInArrow(lambda batches: _send(batches, lambda col: [tokens(col)[0]], ["h", "n"]), "h long, n long").groupBy("h").agg(F.sum("n").alias("c"))
     size, total = write_store(counted, "h", {"c": "int64"}, f"{path}/words")
-    sweep(spark)
-    if size >= 1 << 31:
-        raise ValueError("over 2**31 distinct words: two ids no longer fit a 64-bit key")
-    partial, ranges = _count_pairs(frame, f"{path}/words", size, f"{path}/pairs")
-    sums = partial.groupBy("id").agg(*(F.sum(c).alias(c) for c in ("c", "n1", "n2", "n3", "cont")))
-    from cairn.llm.common import durable
-
-    sums = durable(sums, "lm-stats")
-    shards, counts = [], np.zeros(4, dtype=np.int64)
-    for i in range(ranges):
-        try:
-            part = json.loads(get_file(f"{path}/pairs/part-{i:06d}.json"))
-        except FileNotFoundError:
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_words(spark, f"{path}/words", total / (4 * ranges))
+    end = Store(f"{path}/words").find(np.array([END]), "c")[1][0]
+    if end > total / (4 * ranges):
+        hot.append((size, int(end)))  # a start mark for every end mark
+    parts = Parts(ranges, size + 2, [i for i, _ in hot], [min(ranges, -(-c * 4 * ranges // total)) for _, c in hot])
+    partial = _count_grams(frame, f"{path}/words", size, order, parts, f"{path}/grams", size > NARROW if wide is None else wide)
+    sums = durable(partial.groupBy("kind", "a", "b").agg(*(F.sum(c).alias(c) for c in STATS[3:])), "lm-stats")
+
+    files, counts = [], np.zeros((order + 1, 4), dtype=np.int64)
+    for i in range(ranges):  # every part leaves a line, an empty one too: a missing one is an error
+        if not total:  # nothing to learn from, so nothing was run
+            files.append([])
             continue
-        shards += [(*s, 0) for s in part["shards"]]
+        part = json.loads(get_file(f"{path}/grams/part-{i:06d}.json"))
+        files.append(part["files"])
         counts += np.array(part["counts"])
-    put_file(f"{path}/pairs/meta.json", json.dumps({"shards": sorted(shards, key=lambda s: s[2]), "values": ["n"]}).encode())
-    d = discounts(counts.tolist())
-    r = sums.agg(*(F.count_if(F.col("cont") == k) for k in (1, 2, 3, 4)), F.sum("cont"), F.count_if(F.col("cont") > 2)).first()
-    d1 = discounts([*r[:4]])
-    left = (d1[0] * r[0] + d1[1] * r[1] + d1[2] * r[5]) / r[4] if r[4] else 1.0
-    each = F.when(F.col("cont") == 1, d1[0]).when(F.col("cont") == 2, d1[1]).otherwise(d1[2])
-    unigram = F.greatest(F.col("cont") - each, F.lit(0.0)) / F.lit(float(r[4] or 1)) + F.lit(left / (size + 1))
-    gamma = F.when(F.col("c") > 0, (F.col("n1") * d[0] + F.col("n2") * d[1] + F.col("n3") * d[2]) / F.col("c")).otherwise(F.lit(1.0))
-    step = max(1, -(-(size + 1) // ranges))
-    write_store(sums.select("id", F.col("c").alias("follow"), unigram.alias("p"), gamma.alias("g")), "id", {"follow": "int64", "p": "float64", "g": "float64"}, f"{path}/ids", F.floor(F.col("id") / step).cast("int"), ranges)
-    sweep(spark)
-    put_file(f"{path}/model.json", json.dumps({"words": size, "tokens": total, "d": d, "unknown": left / (size + 1)}).encode())
+    each = lambda c: [F.count_if(F.col(c) == k) for k in (1, 2, 3, 4)]
+    stats = sums.where(F.col("kind") == WORD).select(F.col("a").alias("id"), *STATS[3:])
+    heavy = sums.where(F.col("kind") == HEAVY).select("a", "b", "c")
+    if order == 3:
+        with tidy(spark):
+            counts[2] += np.array(heavy.agg(*each("c")).first(), dtype=np.int64)
+        flag = lambda x: x.cast("long")
+        zero = F.lit(0).cast("long")
+        of_v = heavy.select("a", "c", flag(F.col("c") == 1), flag(F.col("c") == 2), flag(F.col("c") >= 3), zero)
+        of_w = heavy.select("b", zero, zero, zero, zero, F.lit(1).cast("long"))
+        stats = stats.union(of_v).union(of_w).groupBy("id").agg(*(F.sum(c).alias(c) for c in STATS[3:]))
+    d = [discounts(c.tolist()) for c in counts]
+    with tidy(spark):
+        r = stats.agg(*each("cont"), F.sum("cont"), F.count_if(F.col("cont") > 2)).first()
+    d[1] = discounts([*r[:4]])
+    left = (d[1][0] * r[0] + d[1][1] * r[1] + d[1][2] * r[5]) / r[4] if r[4] else 1.0
+    lost = lambda d: (F.col("n1") * d[0] + F.col("n2") * d[1] + F.col("n3") * d[2]) / F.col("c")
+    cut = F.when(F.col("cont") == 1, d[1][0]).when(F.col("cont") == 2, d[1][1]).otherwise(d[1][2])
+    unigram = F.greatest(F.col("cont") - cut, F.lit(0.0)) / F.lit(float(r[4] or 1)) + F.lit(left / (size + 1))
+    gamma = F.when(F.col("c") > 0, lost(d[2])).otherwise(F.lit(1.0))
+    step = max(1, -(-(size + 2) // ranges))
+    write_store(stats.select("id", F.col("c").alias("follow"), unigram.alias("p"), gamma.alias("g")), "id", {"follow": "int64", "p": "float64", "g": "float64"}, f"{path}/ids", F.floor(F.col("id") / step).cast("int"), ranges)
+    if order == 3:
+        contexts = sums.where((F.col("kind") == CONTEXT) & (F.col("c") > 1))
+        write_store(contexts.select("a", "b", "c", lost(d[3]).alias("g")), "a", {"c": "int64", "g": "float32"}, f"{path}/contexts", low="b")
+        write_store(heavy, "a", {"c": "int64"}, f"{path}/heavy", F.floor(F.col("a") / step).cast("int"), ranges, low="b")
+    forget(spark, sums)
+    model = {"words": size, "tokens": total, "order": order, "d": d, "unknown": left / (size + 1), "files": files}
+    put_file(f"{path}/model.json", json.dumps(model | {"hot": parts.hot.tolist(), "splits": parts.splits.tolist()}).encode())
     return path
 
 
+def _bisect(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each ``want`` stands in x[lo:hi], which is sorted, and whether it does."""
+    lo, top, last = lo.copy(), hi, len(x) - 1
+    hi = hi.copy()
+    live = np.flatnonzero(lo < hi)
+    while len(live):
+        mid = (lo[live] + hi[live]) >> 1
+        less = x[mid] < want[live]
+        lo[live[less]] = mid[less] + 1
+        hi[live[~less]] = mid[~less]
+        live = live[lo[live] < hi[live]]
+    return lo, (lo < top) & (x[np.minimum(lo, last)] == want)
+
+
+class Grams:
+    """The trie."""
+
+    def __init__(self, path: str, model: dict):
+        self.path, self.order, self.files = path, model["order"], model["files"]
+        self.parts = Parts(len(self.files), model["words"] + 2, model["hot"], model["splits"])
+        self.start = model["words"]
+        self.heavy = Store(f"{path}/heavy") if self.order == 3 else None
+
+    def find(self, v: np.ndarray, w: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """a(vw) and, at order 3, c(uvw); 0 for what was not seen.  v and w are known words, u may be none."""
+        a, c = np.zeros(len(v), dtype=np.int64), np.zeros(len(v), dtype=np.int64)
+        if not len(v):
+            return a, c
+        part = self.parts.of(v, w, u if self.order == 3 else None)
+        order = np.lexsort((w, v, part))
+        edges = np.searchsorted(part[order], np.arange(len(self.files) + 1))
+        for p in np.flatnonzero(np.diff(edges)).tolist():
+            own, files = order[edges[p] : edges[p + 1]], self.files[p]
+            if not files:
+                continue
+            file = np.zeros(len(own), dtype=np.int64)
+            for _, _, fv, fw in files[1:]:  # ends with the last file that begins at or before the pair
+                file += (v[own] > fv) | ((v[own] == fv) & (w[own] >= fw))
+            for f in np.unique(file).tolist():
+                i = own[file == f]
+                a[i], c[i] = self._in(files[f][0], v[i], w[i], u[i])
+        if self.heavy is not None:
+            i = np.flatnonzero(self.parts.heavy(v, w))
+            a[i] = self.heavy.find(v[i], "c", low=w[i])[1]
+        return a, c
+
+    def _in(self, name: str, v, w, u):
+        x = lambda k: cached_array(f"{self.path}/grams/{name}.{k}.npy")
+        a, c = np.zeros(len(v), dtype=np.int64), np.zeros(len(v), dtype=np.int64)
+        first, at, n = x("v"), x("v.at"), x("n")
+        j = np.searchsorted(first, v)
+        j[j == len(first)] = 0
+        live = np.flatnonzero(first[j] == v)
+        k, hit = _bisect(x("w"), at[j[live]], at[j[live] + 1], w[live])
+        live, k = live[hit], k[hit]
+        if self.order == 2:
+            a[live] = n[k]
+            return a, c
+        at = x("w.at")
+        lo, hi = at[k], at[k + 1]
+        a[live] = np.where(v[live] == self.start, n[lo], hi - lo)
+        k, hit = _bisect(x("u"), lo, hi, u[live])
+        c[live[hit]] = n[k[hit]]
+        return a, c
+
+
 class Model:
     _last: dict[str, Model] = {}
 
     def __init__(self, path: str):
         m = json.loads(get_file(f"{path}/model.json"))
-        self.size, self.total, self.unknown = m["words"], m["tokens"], m["unknown"]
-        self.d = np.array([0.0, *m["d"]])
-        self.words, self.ids = Store(f"{path}/words"), Store(f"{path}/ids")
-        self.pairs = Pairs(f"{path}/pairs")
+        self.size, self.total, self.unknown, self.order = m["words"], m["tokens"], m["unknown"], m["order"]
+        self.d = [np.array([0.0, *x]) for x in m["d"]]
+        self.words, self.ids, self.grams = Store(f"{path}/words"), Store(f"{path}/ids"), Grams(path, m)
+        self.contexts = Store(f"{path}/contexts") if self.order == 3 else None
 
     @classmethod
     def open(cls, path: str) -> Model:
@@ -193,15 +394,14 @@ class Model:
 
     def score(self, col: pa.Array) -> dict[str, np.ndarray]:
         h, first = tokens(col)
-        u, inv = np.unique(h, return_inverse=True)
-        ids, c = self.words.find(u, "c")
+        uniq, inv = np.unique(h, return_inverse=True)
+        ids, c = self.words.find(uniq, "c")
         _, follow, p, g = self.ids.find(ids, "follow", "p", "g")
         known = ids >= 0
         p, g = np.where(known, p, self.unknown), np.where(known, g, 1.0)
         base = np.log10((c + 0.5) / (self.total + 0.5 * (self.size + 1)))
         _, sf, sg = self.ids.find(np.array([self.size]), "follow", "g")
-        w = ids[inv]
-        begin = first[:-1]
+        w, begin = ids[inv], first[:-1]
 
         def before(x, at_start):
             out = np.empty(len(inv), dtype=x.dtype)
@@ -209,48 +409,52 @@ class Model:
             out[begin] = at_start
             return out
 
-        start = self.size if sf[0] else -1
-        v, fv, gv = before(ids, start), before(follow, sf[0]), before(g, sg[0] if sf[0] else 1.0)
+        v, fv, gv = before(ids, self.size if sf[0] else -1), before(follow, sf[0]), before(g, sg[0] if sf[0] else 1.0)
+        u = np.full(len(w), self.size + 1)
+        u[1:] = v[:-1]
+        u[begin] = self.size + 1  # none
         both = np.flatnonzero((v >= 0) & (w >= 0))
-        _, n = self.pairs.find(v[both] << 32 | w[both], "n")
-        prob = gv * p[inv]
-        prob[both] += np.where(n > 0, n - self.d[np.minimum(n, 3)], 0.0) / np.maximum(fv[both], 1)
+        a, n = np.zeros(len(w), dtype=np.int64), np.zeros(len(w), dtype=np.int64)
+        a[both], n[both] = self.grams.find(v[both], w[both], u[both])
+        less = lambda x, d: np.where(x > 0, x - d[np.minimum(x, 3)], 0.0)
+        prob = less(a, self.d[2]) / np.maximum(fv, 1) + gv * p[inv]
+        if self.order == 3:
+            # the pair before this word, looked up as a pair one place earlier, is its context
+            seen = np.zeros(len(w), dtype=bool)
+            seen[1:] = a[:-1] > 0
+            seen[begin] = False
+            at = np.flatnonzero(seen)
+            total, gamma = np.ones(len(at), dtype=np.int64), np.full(len(at), self.d[3][1])
+            rank, many, left = self.contexts.find(_context_key(u[at], v[at]), "c", "g", low=u[at])
+            total[rank >= 0], gamma[rank >= 0] = many[rank >= 0], left[rank >= 0]
+            prob[at] = less(n[at], self.d[3]) / total + gamma * prob[at]
         add = lambda x: np.add.reduceat(x, begin) if len(begin) else np.zeros(0)
         return {"n_tokens": np.diff(first), "n_known": add(known[inv].astype(np.int64)), "base_score": add(base[inv]), "score": add(np.log10(prob))}
 
 
-class Pairs(Store):
-    """The pairs' arrays: shards are named, not numbered."""
-
-    def __init__(self, path: str):
-        meta = json.loads(get_file(f"{path}/meta.json"))
-        from cairn.llm.common import get_array
-
-        self.path, self.meta, self.names = path, meta["shards"], meta["values"]
-        self.keys = [get_array(f"{path}/{m[0]}.key.npy") for m in self.meta]
-        self.columns = {"n": [get_array(f"{path}/{m[0]}.n.npy") for m in self.meta]}
-        self.lo = np.array([m[2] for m in self.meta], dtype=np.int64)
-        self.base = np.cumsum([0, *(m[1] for m in self.meta)])
-
-
 def score(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score (both log10), perplexity."""
     frame = framed(docs, id_col, text_col, False)
+    kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
 
     def run(batches):
         m = Model.open(model)
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", 4 << 20):
                 s = m.score(part.column(1))
-                n = part.num_rows
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "n_tokens": pa.array(s["n_tokens"], pa.int64()), "n_known": pa.array(s["n_known"], pa.int64()), "train_tokens": pa.array([m.total] * n, pa.int64()), "base_score": pa.array(s["base_score"], pa.float64()), "score": pa.array(s["score"], pa.float64()), "perplexity": pa.array(10 ** np.minimum(-s["score"] / s["n_tokens"], 300.0), pa.float64())})
+                said = {k: pa.array(s[k], t) for k, t in kinds.items()}
+                perplexity = 10 ** np.minimum(-s["score"] / s["n_tokens"], 300.0)
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "train_tokens": pa.array([m.total] * part.num_rows, pa.int64()), **said, "perplexity": pa.array(perplexity, pa.float64())}).select(OUT)
 
     return frame.mapInArrow(run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
 
 
+OUT = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
+
+
 def op5_lm_scoring(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     model = train_model(docs.where(remainder != 1))
     out = score(docs, model)
-    return out.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+    return out.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), *OUT[1:])

@@ -235,37 +235,64 @@ def test_jaccard_odd_cases(spark, odd_docs):
     assert jaccard.jaccard_components(odd_docs.limit(0)).count() == 0
 
 
-def _kneser_ney(train, texts):
+def _kneser_ney(train, texts, order):
     words = lambda t: [*(t or "").encode().lower().split(), None]
     tr = [words(t) for t in train]
     c = Counter(w for v in tr for w in v)
     total, size = sum(c.values()), len(c)
     pair = Counter(p for v in tr for p in zip(["<s>", *v], v))
+    triple = Counter(p for v in tr for p in zip(["<s>", *v], v, v[1:]))
+    adjusted = pair
+    if order == 3:
+        left_of = Counter((v, w) for _, v, w in triple)
+        adjusted = Counter({p: n if p[0] == "<s>" else left_of[p] for p, n in pair.items()})
     cont = Counter(w for _, w in pair)
-    d = [0, *ngram_lm.discounts([sum(x == k for x in pair.values()) for k in (1, 2, 3, 4)])]
-    e = [0, *ngram_lm.discounts([sum(x == k for x in cont.values()) for k in (1, 2, 3, 4)])]
-    follow, lost = Counter(), Counter()
-    for (v, _), n in pair.items():
-        follow[v] += n
-        lost[v] += d[min(n, 3)]
+    d, e, f = ([0, *ngram_lm.discounts([sum(x == k for x in n.values()) for k in (1, 2, 3, 4)])] for n in (adjusted, cont, triple))
+    sums = [(Counter(), Counter()), (Counter(), Counter())]
+    for (follow, lost), grams, cut in zip(sums, (adjusted, triple), (d, f)):
+        for (*h, _), n in grams.items():
+            follow[tuple(h)] += n
+            lost[tuple(h)] += cut[min(n, 3)]
     left = sum(e[min(x, 3)] for x in cont.values()) / len(pair) if pair else 1.0
     uni = lambda w: ((cont[w] - e[min(cont[w], 3)]) / len(pair) if cont[w] else 0) + left / (size + 1)
-    bi = lambda w, v: uni(w) if not follow[v] else max(pair[v, w] - d[min(pair[v, w], 3)], 0) / follow[v] + lost[v] / follow[v] * uni(w)
+
+    def over(h, n, cut, at, below):
+        follow, lost = sums[at]
+        return below if not follow[h] else max(n - cut[min(n, 3)], 0) / follow[h] + lost[h] / follow[h] * below
+
+    def prob(h, w):
+        p = over(h[-1:], adjusted[h[-1], w], d, 0, uni(w))
+        return over(h, triple[(*h, w)], f, 1, p) if order == 3 and len(h) == 2 else p
+
     out = []
     for t in texts:
         ws = words(t)
-        out.append((len(ws), sum(c[w] > 0 for w in ws), total, sum(math.log10((c[w] + 0.5) / (total + 0.5 * (size + 1))) for w in ws), sum(math.log10(bi(w, v)) for v, w in zip(["<s>", *ws], ws))))
+        told = ["<s>", *ws]
+        score = sum(math.log10(prob(tuple(told[max(0, i - 1) : i + 1]), w)) for i, w in enumerate(ws))
+        out.append((len(ws), sum(c[w] > 0 for w in ws), total, sum(math.log10((c[w] + 0.5) / (total + 0.5 * (size + 1))) for w in ws), score))
     return out
 
 
-def test_model_equals_brute_force(spark, odd_docs):
-    for train, docs in ((docs_of(spark), docs_of(spark)), (odd_docs, odd_docs), (odd_docs.limit(0), odd_docs), (odd_docs, odd_docs.limit(0))):
+@pytest.mark.parametrize("order,wide", [(2, None), (3, None), (3, True), (2, True)])
+def test_model_equals_brute_force(spark, odd_docs, order, wide, monkeypatch):
+    hot = spark.createDataFrame([(i, " ".join(random.Random(i).choices(["a", "a", "b", "b c", f"w{i % 9}"], k=60))) for i in range(200)], "doc_id long, text string")
+    monkeypatch.setattr(ngram_lm, "SHARD", 300)  # several files a part
+    for train, docs in ((docs_of(spark), docs_of(spark)), (odd_docs, odd_docs), (odd_docs.limit(0), odd_docs), (odd_docs, odd_docs.limit(0)), (hot.repartition(5), hot)):
         train, docs = train.select("doc_id", "text"), docs.select("doc_id", "text").coalesce(1)
-        got = ngram_lm.score(docs, ngram_lm.train_model(train)).collect()
-        want = _kneser_ney([r.text for r in train.collect()], [r.text for r in docs.collect()])
+        got = ngram_lm.score(docs, ngram_lm.train_model(train, order=order, wide=wide)).collect()
+        want = _kneser_ney([r.text for r in train.collect()], [r.text for r in docs.collect()], order)
         assert len(got) == len(want)
         for r, w in zip(got, want):
-            assert tuple(r[1:4]) == w[:3] and r.base_score == pytest.approx(w[3], rel=1e-9, abs=1e-9) and r.score == pytest.approx(w[4], rel=1e-9, abs=1e-9)
+            assert tuple(r[1:4]) == w[:3] and r.base_score == pytest.approx(w[3], rel=1e-9, abs=1e-9) and r.score == pytest.approx(w[4], rel=1e-6, abs=1e-6)
+
+
+def test_model_without_a_part_is_an_error(spark, monkeypatch):
+    real = ngram_lm.put_file
+    monkeypatch.setattr(ngram_lm, "put_file", lambda p, x: None if "part-000001" in p else real(p, x))
+    with pytest.raises(FileNotFoundError):
+        ngram_lm.train_model(docs_of(spark).limit(20))
+    with pytest.raises(ValueError):
+        ngram_lm.train_model(docs_of(spark), order=4)
 
 
 def test_held_out_texts_score_better_than_the_base(spark):

@@ -7,10 +7,12 @@ context's, d: distinct bytes seen), any other costs an escape, -log2(d / (n + d)
 context one byte shorter; below the empty context all 256 bytes cost 8 bits.  The language with the shortest
 code for the whole text wins; nothing but the text's bytes enters.
 
-The trees share one set of nodes, so code lengths of all languages are looked up at once: ``cost[node, byte]``
-is a row of exact code lengths, precomputed with all escapes, and the node of a position is found by
-walking back over the bytes before it, for all positions of a text in step (numpy, no loop over bytes).
-Contexts seen fewer than ``least`` times are no nodes; ``max_cells`` bounds nodes x bytes x languages.
+The trees share one set of nodes, so code lengths of all languages are looked up at once.  The node of a position is
+found by walking back over the bytes before it, for all positions of a text in step (numpy, no loop over bytes).  A
+node lists the bytes that any language saw after it, each with a row of exact code lengths, escapes included; where a
+byte is not listed, the escapes of all languages are added and the node one byte shorter is asked.  So the tables grow
+with what the sample holds, not with nodes x bytes, and no context is dropped for room; contexts seen fewer than
+``least`` times are no nodes.
 
 Defined cases: a null text, and one without a letter, is ``und`` with score 0; without labelled rows
 every text is ``und``; ties go to the name that sorts first; ids may be null or repeat (rows are judged one
@@ -19,17 +21,18 @@ by one; a null id is not learnt from); columns besides those named are ignored,
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import framed, get_array, new_path, out_schema, put_array, put_file, slices, with_row
+from cairn.llm.common import framed, get_array, get_file, new_path, out_schema, put_array, put_file, slices, tidy, with_row
 from cairn.llm.words import text_bytes
 
-ORDER, LEAST, ROWS, MAX_BYTES, MAX_CELLS = 4, 3, 400, 1_500_000, 8_000_000
+ORDER, LEAST, ROWS, MAX_BYTES = 4, 3, 400, 1_500_000
 _ASCII = re.compile("[A-Za-z]")
 
 
@@ -38,31 +41,62 @@ def has_letter(text: str) -> bool:
 
 
 def sample(docs: DataFrame, rows: int, id_col: str, text_col: str, lang_col: str, learn, max_bytes: int = MAX_BYTES) -> list[tuple[str, str]]:
-    """At most ``rows`` (lang, text) and ``max_bytes`` of whole texts (or one text) of each language among the rows
-    ``learn`` admits, the same ones on every run: those with the least hash of the id.  The bound on rows is applied
-    in every task before the shuffle, which carries no text."""
+    """At most ``rows`` (lang, text) and ``max_bytes`` of whole texts of each language among the rows ``learn`` admits,
+    the same ones on every run: in the order of the id's hash, texts that no longer fit being passed over (the first
+    is taken if none fits).
+
+    Rows are counted first, and only ids whose hash is so low that some ``3 * rows`` of a language are expected are looked at
+    (all, where those turn out too few), so that what comes to the driver does not grow with the table."""
     own = docs.where(learn).where(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull())
     keyed = own.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{id_col}`").alias("h"))
-
-    def least(df: DataFrame, *ties: str) -> DataFrame:
-        order = Window.partitionBy("lang").orderBy("h", "size", *ties)
-        first = df.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= rows)
-        return first.withColumn("bytes", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))).where((F.col("bytes") <= max_bytes) | (F.col("rn") == 1))
-
-    sized = keyed.withColumn("size", F.octet_length("text"))
-    ids = [r.h for r in least(sized.drop("text")).select("h").distinct().collect()]  # at most ``rows`` a language
-    # the ids alone were dealt out; the few texts are fetched now, and the bound holds again should ids repeat
-    return [(r.lang, r.text) for r in least(sized.where(F.col("h").isin(ids)), "text").select("lang", "text").collect()] if ids else []
+    picked: list[tuple[str, int]] = []
+    with tidy(docs.sparkSession):
+        counts = {r.lang: r.n for r in keyed.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+        if not counts:
+            return []
+        below = {x: min(1.0, 3 * rows / n) for x, n in counts.items()}
+        while True:
+            limit = F.coalesce(*(F.when(F.col("lang") == x, F.lit(int(share * 2**64) - 2**63 - (share >= 1))) for x, share in below.items()))
+            seen = sorted(tuple(r) for r in keyed.where(F.col("h") <= limit).select("lang", "h", F.octet_length("text")).collect())
+            have = {x: sum(r[0] == x for r in seen) for x in counts}
+            short = [x for x in counts if have[x] < min(rows, counts[x]) and below[x] < 1]
+            if not short:
+                break
+            below |= {x: min(1.0, 4 * below[x]) for x in short}
+        for x in counts:
+            room, taken = max_bytes, []
+            for _, h, size in (r for r in seen if r[0] == x):
+                if size <= room and len(taken) < rows:
+                    room -= size
+                    taken.append((x, h))
+            picked += taken or [next((x, r[1]) for r in seen if r[0] == x)]
+        ids = sorted({h for _, h in picked})
+        fetched = keyed.where(F.col("h").isin(ids)).select("lang", "h", "text").collect()
+    # the same bounds once more: rows may share an id
+    out: dict[str, list[str]] = {x: [] for x in counts}
+    room = dict.fromkeys(counts, max_bytes)
+    for x, _, text in sorted((r.lang, r.h, r.text) for r in fetched if (r.lang, r.h) in set(picked)):
+        size = len(text.encode("utf-8"))
+        if len(out[x]) < rows and (size <= room[x] or not out[x]):
+            out[x].append(text)
+            room[x] -= size
+    return [(x, text) for x, texts in out.items() for text in texts]
 
 
 class Trees:
-    """kids[node, class]: the node one byte further back, or -1; cost[node, class, language] in bits."""
+    """kids[node, class]: the node one byte further back, or -1; up[node]: the node one byte shorter; escape[node,
+    language] in bits; listed[node, word]: which byte classes follow, a bit each; first[node, word]: the entry of the first
+    of these; cost[entry, language]: exact code lengths in bits."""
+
+    PARTS = ("kids", "up", "escape", "listed", "first", "cost")
 
-    def __init__(self, langs, classes, kids, cost):
-        self.langs, self.classes, self.kids, self.cost = langs, classes, kids, cost
+    def __init__(self, langs, classes, *parts):
+        self.langs, self.classes = langs, classes
+        for name, x in zip(self.PARTS, parts):
+            setattr(self, name, x)
 
     @classmethod
-    def fit(cls, texts: list[tuple[str, str]], order: int = ORDER, least: int = LEAST, max_cells: int = MAX_CELLS) -> Trees:
+    def fit(cls, texts: list[tuple[str, str]], order: int = ORDER, least: int = LEAST) -> Trees:
         langs = sorted({x for x, _ in texts})
         data = {x: [np.frombuffer(t.encode("utf-8"), np.uint8) for y, t in texts if y == x] for x in langs}
         seen = np.zeros(256, dtype=bool)
@@ -91,7 +125,6 @@ class Trees:
                     u, n = np.unique(np.concatenate(keys), return_counts=True)
                     rows.append((u // width, u % width, np.full(len(u), at), n))
             counts.append([np.concatenate(z) for z in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 4)
-        room = max(1, max_cells // (width * max(1, len(langs))))
         nodes, kept, kids = [np.array([0])], 1, [np.full((1, width), -1, dtype=np.int32)]
         for k in range(1, order + 1):
             ctx, _, _, n = counts[k]
@@ -101,14 +134,16 @@ class Trees:
             parent[parent == len(nodes[k - 1])] = 0
             ok = (total >= least) & (nodes[k - 1][parent] == u % width ** (k - 1)) if len(nodes[k - 1]) else np.zeros(len(u), bool)
             i = np.flatnonzero(ok)
-            if len(i) > room - kept:
-                i = np.sort(i[np.argsort(-total[i], kind="stable")[: max(0, room - kept)]])
             kids[k - 1][parent[i], u[i] // width ** (k - 1)] = np.arange(len(i)) + kept
             nodes.append(u[i])
             kids.append(np.full((len(i), width), -1, dtype=np.int32))
             kept += len(i)
-        cost = np.full((kept, width, len(langs)), 8.0, dtype=np.float32)
-        base, above = 0, None
+        words = -(-width // 64)
+        up, escape = np.full(kept, -1, dtype=np.int32), np.zeros((kept, len(langs)), dtype=np.float32)
+        listed, first = np.zeros((kept, words), dtype=np.uint64), np.zeros((kept, words), dtype=np.int64)
+        keys: list[np.ndarray] = []  # by order: node * width + class of each entry
+        costs: list[np.ndarray] = []
+        base, entries = 0, 0
         for k in range(order + 1):
             ctx, sym, lang, n = counts[k]
             size = len(nodes[k])
@@ -118,22 +153,60 @@ class Trees:
             node[node == size] = 0
             own = nodes[k][node] == ctx
             node, sym, lang, n = node[own], sym[own], lang[own], n[own]
-            up = np.searchsorted(nodes[k - 1], nodes[k] % width ** (k - 1)) + above if k else None
-            order_by_node = np.argsort(node, kind="stable")
-            node, sym, lang, n = (x[order_by_node] for x in (node, sym, lang, n))
-            for lo in range(0, size, 1024):  # some nodes at a time: this runs on the driver
-                hi = min(size, lo + 1024)
-                r = slice(*np.searchsorted(node, [lo, hi]))
-                c = np.zeros((hi - lo, width, len(langs)))
-                c[node[r] - lo, sym[r], lang[r]] = n[r]
-                total, kinds = c.sum(1), (c > 0).sum(1)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    hit = -np.log2(c / (total + kinds)[:, None, :])
-                    escape = np.where(kinds > 0, -np.log2(kinds / (total + kinds)), 0.0)
-                below = cost[up[lo:hi]].astype(np.float64) if k else np.full(c.shape, 8.0)
-                cost[base + lo : base + hi] = np.where(c > 0, hit, escape[:, None, :] + below)
-            above, base = base, base + size
-        return cls(langs, classes, np.concatenate(kids), cost)
+            total, kinds = np.zeros((size, len(langs))), np.zeros((size, len(langs)))
+            np.add.at(total, (node, lang), n)
+            np.add.at(kinds, (node, lang), 1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gone = np.where(kinds > 0, -np.log2(kinds / (total + kinds)), 0.0)
+            escape[base : base + size] = gone
+            key, entry = np.unique(node * width + sym, return_inverse=True)
+            at, byte = key // width, key % width
+            if k:  # the same byte after the shorter context is listed there
+                above = np.searchsorted(nodes[k - 1], nodes[k] % width ** (k - 1))
+                up[base : base + size] = above + base - len(nodes[k - 1])
+                row = costs[-1][np.searchsorted(keys[-1], above[at] * width + byte)] + gone[at]
+            else:
+                row = np.full((len(key), len(langs)), 8.0) + gone[at]
+            row[entry, lang] = -np.log2(n / (total + kinds)[node, lang])
+            keys.append(key)
+            costs.append(row)
+            np.bitwise_or.at(listed, (at + base, byte >> 6), np.uint64(1) << (byte & 63).astype(np.uint64))
+            for j in range(words):
+                first[base : base + size, j] = entries + np.searchsorted(key, np.arange(size) * width + 64 * j)
+            base, entries = base + size, entries + len(key)
+        cost = np.concatenate(costs).astype(np.float32) if costs else np.zeros((0, len(langs)), np.float32)
+        return cls(langs, classes, np.concatenate(kids), up, escape, listed, first, cost)
+
+    def bits(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """Code lengths of bytes after nodes: a row each, a column a language."""
+        words = self.listed.shape[1]
+        listed, first = self.listed.reshape(-1), self.first.reshape(-1)
+        word, bit = byte >> 6, (byte & 63).astype(np.uint64)
+        one = np.uint64(1)
+        at = node * words + word
+        mask = listed[at]
+        known = (mask >> bit) & one == 1
+        entry = first[at] + np.bitwise_count(mask & ((one << bit) - one))
+        if len(self.cost):
+            out = self.cost[np.where(known, entry, 0)]
+        else:
+            out = np.zeros((len(node), len(self.langs)), dtype=np.float32)
+        live = np.flatnonzero(~known)
+        out[live] = 0
+        node = node[live]
+        while len(live):  # one byte shorter at a time
+            out[live] += self.escape[node]
+            node = self.up[node]
+            end = node < 0
+            out[live[end]] += 8
+            live, node = live[~end], node[~end].astype(np.int64)
+            at = node * words + word[live]
+            mask, b = listed[at], bit[live]
+            known = (mask >> b) & one == 1
+            hit = live[known]
+            out[hit] += self.cost[first[at[known]] + np.bitwise_count(mask[known] & ((one << b[known]) - one))]
+            live, node = live[~known], node[~known]
+        return out
 
     def lengths(self, col: pa.Array, step: int = 1 << 19) -> np.ndarray:
         """Bits of each text under each language."""
@@ -146,7 +219,7 @@ class Trees:
         doc_begin = np.repeat(offs[:-1], np.diff(offs))
         sums = []
         width = self.kids.shape[1]
-        kids, cost = self.kids.reshape(-1), self.cost.reshape(-1, len(self.langs))
+        kids = self.kids.reshape(-1)
         cuts = np.unique(np.concatenate([np.arange(0, len(buf), step), offs[:-1][offs[:-1] < len(buf)]]))
         for lo in range(0, len(buf), step):
             hi = min(len(buf), lo + step)
@@ -160,28 +233,22 @@ class Trees:
                 live = live[deeper]
                 node[live] = nxt[deeper]
             own = cuts[(cuts >= lo) & (cuts < hi)] - lo
-            sums.append(np.add.reduceat(cost[node * width + c[lo:hi]], own, axis=0, dtype=np.float64))
+            sums.append(np.add.reduceat(self.bits(node, c[lo:hi]), own, axis=0, dtype=np.float64))
         doc = np.searchsorted(offs, cuts, "right") - 1
         np.add.at(out, doc, np.concatenate(sums))
         return out
 
     def save(self, path: str) -> None:
-        import json
-
-        put_array(f"{path}/kids.npy", self.kids)
-        put_array(f"{path}/cost.npy", self.cost)
+        for name in self.PARTS:
+            put_array(f"{path}/{name}.npy", getattr(self, name))
         put_file(f"{path}/meta.json", json.dumps({"langs": self.langs, "classes": self.classes.tolist()}).encode())
 
     @classmethod
     def load(cls, path: str) -> Trees:
-        import json
-
-        from cairn.llm.common import get_file
-
         if path not in _loaded:
             _loaded.clear()
             meta = json.loads(get_file(f"{path}/meta.json"))
-            _loaded[path] = cls(meta["langs"], np.array(meta["classes"], dtype=np.int16), get_array(f"{path}/kids.npy"), get_array(f"{path}/cost.npy"))
+            _loaded[path] = cls(meta["langs"], np.array(meta["classes"], dtype=np.int16), *(get_array(f"{path}/{name}.npy") for name in cls.PARTS))
         return _loaded[path]
 
 
@@ -197,10 +264,11 @@ def _depth(kids: np.ndarray) -> int:
     return depth
 
 
-def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = ROWS, order: int = ORDER, least: int = LEAST, max_cells: int = MAX_CELLS) -> str:
-    """Fits the trees on at most ``rows`` rows of each language and writes them to the shared folder; returns where."""
+def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = ROWS, max_bytes: int = MAX_BYTES, order: int = ORDER, least: int = LEAST) -> str:
+    """Fits the trees on at most ``rows`` rows and ``max_bytes`` of each language and writes them to the shared folder; returns
+    where."""
     path = new_path(docs.sparkSession, "langid")
-    Trees.fit(sample(docs, rows, id_col, text_col, lang_col, learn), order, least, max_cells).save(path)
+    Trees.fit(sample(docs, rows, id_col, text_col, lang_col, learn, max_bytes), order, least).save(path)
     return path
 
 

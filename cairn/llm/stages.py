@@ -6,6 +6,7 @@ n_chars, where there is one, by its length.  A document that a stage leaves with
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
@@ -34,8 +35,6 @@ FOREIGN = 8.0
 def language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents in no language: no text, no letter, or a code of ``FOREIGN`` bits a byte and more under
     every language learnt (8: no shorter than the bytes themselves).  With no language to learn from, only the former go."""
-    import json
-
     model = langid.train(docs, ~langid.held_out())
     seen = langid.identify(docs, model, carry=True)
     if json.loads(get_file(f"{model}/meta.json"))["langs"]:

@@ -153,7 +153,7 @@ def get_array(path: str) -> np.ndarray:
     """Memory-mapped where the shared folder is mounted, else read into memory."""
     local = _local(path)
     if local is not None:
-        return np.load(local, mmap_mode="r")
+        return np.load(local, mmap_mode="r").view(np.ndarray)
     return np.load(io.BytesIO(get_file(path)))
 
 
@@ -239,11 +239,11 @@ def cached_array(path: str) -> np.ndarray:
         _arrays.move_to_end(path)
         return _arrays[path]
     x = get_array(path)
-    held = lambda y: 0 if isinstance(y, np.memmap) else y.nbytes
+    held = lambda p, y: 0 if _local(p) is not None else y.nbytes
     _arrays[path] = x
-    _unmapped += held(x)
+    _unmapped += held(path, x)
     while len(_arrays) > 1 and (_unmapped > REMOTE_BYTES or len(_arrays) > 8192):
-        _unmapped -= held(_arrays.popitem(last=False)[1])
+        _unmapped -= held(*_arrays.popitem(last=False))
     return x
 
 

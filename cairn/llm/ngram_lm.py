@@ -15,19 +15,22 @@ the count everywhere, and the second line is the model); each order has three di
 what the discounts leave of h's total, l: of N(..).  The unknown word has the last term alone; after a context never
 seen the next shorter one is used.  Each text begins with a start mark and ends with an end mark, which is a token.
 
-Hot keys: a word with more than a quarter of a part's share of the tokens is dealt over as many parts as that calls
-for, by the word after it; a pair of two such words once more by the word before it.  What then falls to several parts
-is partial and added up afterwards.  Contexts seen once are not stored: they are those whose pair is in the trie and
-that are not in the store of contexts.
+Hot keys: a word with more than a part's share of the tokens is dealt over as many parts as that calls for, by the
+word after it; a pair of two such words once more by the word before it.  What then falls to several parts is partial
+and added up afterwards.  Contexts of a word that is not hot are whole where they are counted, and stay there, beside
+the trie; those of hot words have a store.  Contexts seen once are in neither: their pair is in the trie, though.
+N-grams are counted in ``PASSES`` passes over the texts, a share of the parts in each, so that what is shuffled at one time is
+that share.
 
 Defined cases: a null or empty text is the end mark alone; a null id is neither learnt from nor held out; ids
 may repeat (rows are judged one by one); with nothing to learn from, every token is unknown; columns
-besides id and text are ignored; any number of distinct words has ids (beyond 2**31 - 2 they no longer share a long).
+besides id and text are ignored; any number of distinct words has ids (beyond 2**31 - 2 two of them no longer share a long).
 """
 
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +41,12 @@ from cairn.llm.common import Store, cached_array, durable, forget, framed, get_f
 from cairn.llm.words import Words, mix
 
 END = int(mix(np.array([0xE0D], dtype=np.uint64)).view(np.int64)[0])
-SEND, SHARD, ORDER = 2_000_000, 4_000_000, 3
-#: Ids below this and two marks share a long with a neighbour's.
+SEND, SHARD, ORDER, PASSES = 2_000_000, 3_000_000, 3, 2
+#: Up to this many words, two ids share a long.
 NARROW = (1 << 31) - 2
 WORD, CONTEXT, HEAVY = 0, 1, 2
+#: Of the places where a pair's list begins every so many-th is stored; lengths tell the others.
+STRIDE = 16
 STATS = ["kind", "a", "b", "c", "n1", "n2", "n3", "cont"]
 
 
@@ -62,15 +67,29 @@ def _merged(cols: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np
     return [c[cut] for c in cols], np.add.reduceat(n, cut)
 
 
-def _send(batches, make, names):
+def _by_hash(cols: list[np.ndarray], ids: int, wide: bool) -> np.ndarray:
+    """An order of n-grams by their word v, and then so that equal ones (but for a few) stand together, by one key."""
+    shift = 63 - int(ids).bit_length()
+    _, v, *rest = cols
+    if wide:
+        rest = [(rest[0].astype(np.uint64)), *rest[1:]]
+    else:
+        v, rest = v >> 32, [v.astype(np.uint64), *rest]
+    low = rest[0].copy()
+    for c in rest[1:]:
+        low = mix(low) * np.uint64(0x9E3779B97F4A7C15) + c.astype(np.uint64)
+    return np.argsort(v << shift | (mix(low) >> np.uint64(64 - shift)).astype(np.int64))
+
+
+def _send(batches, make, names, order=None):
     """Adds up rows of longs in chunks of about SEND, then hands them on, sorted, with their number."""
     held, size = [], 0
 
     def flush():
         cols = [np.concatenate(x) for x in zip(*held)]
         held.clear()
-        order = np.argsort(cols[0]) if len(cols) == 1 else np.lexsort(cols[::-1])
-        cols, n = _merged([c[order] for c in cols], np.ones(len(order), np.int64))
+        by = order(cols) if order else np.argsort(cols[0])
+        cols, n = _merged([c[by] for c in cols], np.ones(len(by), np.int64))
         for i in range(0, len(n), 250_000):
             yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 250_000]) for c in (*cols, n)], names=names)
 
@@ -110,10 +129,14 @@ class Parts:
 
     def of(self, v: np.ndarray, w: np.ndarray, u: np.ndarray | None) -> np.ndarray:
         any_of = lambda x, n: (mix(x.astype(np.uint64)) >> np.uint64(1)).astype(np.int64) % n
-        sv, sw = self.spread(v), self.spread(w)
-        at = (v.astype(np.float64) * (self.ranges / self.ids)).astype(np.int64) + np.where(sv > 1, any_of(w, sv), 0)
-        if u is not None:
-            at += np.where((sv > 1) & (sw > 1), any_of(u, sw), 0)
+        at = (v.astype(np.float64) * (self.ranges / self.ids)).astype(np.int64)
+        sv = self.spread(v)
+        hot = np.flatnonzero(sv > 1)
+        at[hot] += any_of(w[hot], sv[hot])
+        if u is not None and len(hot):
+            sw = self.spread(w[hot])
+            hot, sw = hot[sw > 1], sw[sw > 1]
+            at[hot] += any_of(u[hot], sw)
         return at % self.ranges
 
 
@@ -121,6 +144,12 @@ def _context_key(u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return mix(mix(v.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + u.astype(np.uint64)).view(np.int64)
 
 
+def _least(x: np.ndarray) -> np.ndarray:
+    """The same numbers in the narrowest type."""
+    kinds = (np.uint8, np.uint16, np.int32, np.int64)
+    return x.astype(next(t for t in kinds if not len(x) or x.max() <= np.iinfo(t).max))
+
+
 def hot_words(spark: SparkSession, words: str, limit: float) -> list[tuple[int, int]]:
     """(id, count) of the words seen more than ``limit`` times: total / limit of them at most."""
     files = len(json.loads(get_file(f"{words}/meta.json"))["files"])
@@ -136,12 +165,12 @@ def hot_words(spark: SparkSession, words: str, limit: float) -> list[tuple[int,
     return sorted((r.id, r.c) for r in spark.range(files).mapInArrow(scan, "id long, c long").collect())
 
 
-def _count_grams(train: DataFrame, words: str, size: int, order: int, parts: Parts, path: str, wide: bool) -> DataFrame:
-    """Writes the trie's parts under ``path``; gives partial statistics (``STATS``): of words (a: id), of contexts of two
+def _count_grams(train: DataFrame, words: str, size: int, order: int, parts: Parts, path: str, wide: bool, turn: int) -> DataFrame:
+    """Writes every PASSES-th of the trie's parts, from ``turn`` on, under ``path``; gives partial statistics (``STATS``): of words (a: id), of contexts of two
     words (a: key, b: the first of them) and of pairs of two hot words (a, b: the pair)."""
-    start, none = size, size + 1
-    names = (["v", "w"] if wide else ["k"]) + (["u"] if order == 3 else [])
-    narrow = np.int64 if wide else np.int32
+    start, none, ids = size, size + 1, size + 2
+    pair = ["v", "w"] if wide else ["k"]  # k: both in one long
+    names = [*pair, "u"] if order == 3 else pair
 
     def make(col):
         h, first = tokens(col)
@@ -153,16 +182,18 @@ def _count_grams(train: DataFrame, words: str, size: int, order: int, parts: Par
         second = begin + 1
         u[second[second < first[1:]]] = start
         v[begin], u[begin] = start, none
-        rows = [parts.of(v, w, u if order == 3 else None), *([v, w] if wide else [v << 32 | w])]
-        return rows + [u] * (order == 3)
+        part = parts.of(v, w, u if order == 3 else None)
+        mine = np.flatnonzero(part % PASSES == turn)
+        part, v, w, u = (x[mine] for x in (part, v, w, u))
+        return [part, *([v, w] if wide else [v << 32 | w]), *([u] if order == 3 else [])]
 
     def write(batches):
         from pyspark import TaskContext
 
-        at = TaskContext.get().partitionId()
+        at = TaskContext.get().partitionId() * PASSES + turn
         files, counts = [], np.zeros((order + 1, 6), dtype=np.int64)
         held: list[list[np.ndarray]] = []
-        carry, waiting = None, 0
+        waiting = 0
 
         def stats(kind, a, b, c=None, some=(None, None, None), cont=None):
             fill = lambda x: np.zeros(len(a), np.int64) if x is None else x
@@ -176,31 +207,34 @@ def _count_grams(train: DataFrame, words: str, size: int, order: int, parts: Par
         def flush(cols, n):
             v, w, *u = cols
             name = f"{at:06d}-{len(files):04d}"
+            hot = parts.spread(v) > 1
             two = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (w[1:] != w[:-1])))
             one = np.flatnonzero(np.append(True, v[two][1:] != v[two][:-1]))
             files.append((name, len(two), int(v[0]), int(w[0])))
-            count = n.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.int64) if n.max() <= np.iinfo(t).max))
-            arrays = {"v": v[two][one].astype(narrow), "v.at": np.append(one, len(two)), "w": w[two].astype(narrow), "n": count}
+            arrays = {"v": v[two][one], "v.at": np.append(one, len(two)), "w": w[two], "n": n}
             if order == 3:
-                arrays |= {"w.at": np.append(two, len(n)), "u": u[0].astype(narrow)}
-            for k, x in arrays.items():
-                put_array(f"{path}/{name}.{k}.npy", x)
+                after = np.diff(np.append(two, len(n)))
+                arrays |= {"w.n": after, "w.at": two[::STRIDE], "u": u[0]}
             counts[order] += np.bincount(np.minimum(n[v != start] if order == 3 else n, 5), minlength=6)
             pv, pw, pn = v[two], w[two], n[two]
             if order == 3:  # how many words stand before the pair; after the start mark, how often it was seen
-                pn = np.where(pv == start, pn, np.diff(np.append(two, len(n))))
+                pn = np.where(pv == start, pn, after)
                 heavy = parts.heavy(pv, pw)
                 yield from stats(HEAVY, pv[heavy], pw[heavy], pn[heavy])
                 pv, pw, pn = pv[~heavy], pw[~heavy], pn[~heavy]
                 counts[2] += np.bincount(np.minimum(pn, 5), minlength=6)
                 inner = np.flatnonzero(v != start)
                 by = inner[np.lexsort((u[0][inner], v[inner]))]
-                if len(by):
-                    cv, cu, cn = v[by], u[0][by], n[by]
-                    cut = np.flatnonzero(np.append(True, (cv[1:] != cv[:-1]) | (cu[1:] != cu[:-1])))
-                    c, *some = sums(cut, cn)
-                    keep = (c > 1) | (parts.spread(cv[cut]) > 1)  # else whole, and seen once
-                    yield from stats(CONTEXT, _context_key(cu[cut], cv[cut])[keep], cu[cut][keep], c[keep], [x[keep] for x in some])
+                cv, cu, cn = v[by], u[0][by], n[by]
+                cut = np.flatnonzero(np.append(True, (cv[1:] != cv[:-1]) | (cu[1:] != cu[:-1]))) if len(by) else by
+                c, *some = sums(cut, cn) if len(by) else [by] * 4
+                cv, cu, part = cv[cut], cu[cut], hot[by][cut]
+                yield from stats(CONTEXT, _context_key(cu, cv)[part], cu[part], c[part], [x[part] for x in some])
+                own = ~part & (c > 1)
+                arrays |= {"c.at": np.searchsorted(cv[own], np.append(arrays["v"], ids)), "c.u": cu[own]}
+                arrays |= {f"c.{k}": x[own] for k, x in zip(("c", "n1", "n2", "n3"), (c, *some))}
+            for k, x in arrays.items():
+                put_array(f"{path}/{name}.{k}.npy", _least(x))
             if len(pv):
                 cut = np.flatnonzero(np.append(True, pv[1:] != pv[:-1]))
                 c, *some = sums(cut, pn)
@@ -217,36 +251,35 @@ def _count_grams(train: DataFrame, words: str, size: int, order: int, parts: Par
             return last
 
         def some(whole: bool):
+            """Files from what is held: rows sorted by pair, so the words before are put in order here."""
             cols = [np.concatenate(x) for x in zip(*held)]
             held.clear()
-            cut = len(cols[0]) if whole else cut_of(cols)
+            if order == 3:
+                v, w, u, _ = cols
+                group = np.cumsum(np.append(False, (v[1:] != v[:-1]) | (w[1:] != w[:-1])))
+                by = np.argsort(group * ids + u)
+                cols = [c[by] for c in cols]
+            cols, n = _merged(cols[:-1], cols[-1])
+            cut = len(n) if whole else cut_of(cols)
             if cut:
-                yield from flush([c[:cut] for c in cols[:-1]], cols[-1][:cut])
-            if cut < len(cols[0]):
-                held.append([c[cut:] for c in cols])
+                yield from flush([c[:cut] for c in cols], n[:cut])
+            if cut < len(n):
+                held.append([*(c[cut:] for c in cols), n[cut:]])
 
         for b in batches:
-            if not b.num_rows:
-                continue
-            *key, n = (b.column(i).to_numpy() for i in range(1, b.num_columns))
-            cols = [*(key[:2] if wide else (key[0] >> 32, key[0] & 0xFFFFFFFF)), *(key[-1:] if order == 3 else [])]
-            if carry is not None:
-                cols, n = [np.concatenate(x) for x in zip(carry[0], cols)], np.append(carry[1], n)
-            cols, n = _merged(cols, n)
-            carry = [c[-1:] for c in cols], n[-1:]
-            if len(n) > 1:
-                held.append([*(c[:-1] for c in cols), n[:-1]])
-                waiting += len(n) - 1
+            if b.num_rows:
+                *key, n = (b.column(i).to_numpy() for i in range(1, b.num_columns))
+                held.append([*(key[:2] if wide else (key[0] >> 32, key[0] & 0xFFFFFFFF)), *key[len(pair) :], n])
+                waiting += len(n)
             if waiting > SHARD:
                 yield from some(False)
                 waiting = sum(len(x[0]) for x in held)
-        if carry is not None:
-            held.append([*carry[0], carry[1]])
+        if held:
             yield from some(True)
         put_file(f"{path}/part-{at:06d}.json", json.dumps({"files": files, "counts": counts[:, 1:5].tolist()}).encode())
 
-    rows = train.mapInArrow(lambda batches: _send(batches, make, ["part", *names, "n"]), ", ".join(f"{n} long" for n in ("part", *names, "n")))
-    rows = rows.repartitionById(parts.ranges, F.col("part").cast("int")).sortWithinPartitions(*names)
+    rows = train.mapInArrow(lambda batches: _send(batches, make, ["part", *names, "n"], lambda cols: _by_hash(cols, ids, wide)), ", ".join(f"{n} long" for n in ("part", *names, "n")))
+    rows = rows.repartitionById(-(-(parts.ranges - turn) // PASSES), F.floor(F.col("part") / PASSES).cast("int")).sortWithinPartitions(*pair)
     return rows.mapInArrow(write, ", ".join(f"{n} long" for n in STATS))
 
 
@@ -261,13 +294,16 @@ def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counted = frame.mapInArrow(lambda batches: _send(batches, lambda col: [tokens(col)[0]], ["h", "n"]), "h long, n long").groupBy("h").agg(F.sum("n").alias("c"))
     size, total = write_store(counted, "h", {"c": "int64"}, f"{path}/words")
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_words(spark, f"{path}/words", total / (4 * ranges))
+    hot = hot_words(spark, f"{path}/words", total / ranges)
     end = Store(f"{path}/words").find(np.array([END]), "c")[1][0]
-    if end > total / (4 * ranges):
+    if end > total / ranges:
         hot.append((size, int(end)))  # a start mark for every end mark
-    parts = Parts(ranges, size + 2, [i for i, _ in hot], [min(ranges, -(-c * 4 * ranges // total)) for _, c in hot])
-    partial = _count_grams(frame, f"{path}/words", size, order, parts, f"{path}/grams", size > NARROW if wide is None else wide)
-    sums = durable(partial.groupBy("kind", "a", "b").agg(*(F.sum(c).alias(c) for c in STATS[3:])), "lm-stats")
+    parts = Parts(ranges, size + 2, [i for i, _ in hot], [min(ranges, -(-2 * c * ranges // total)) for _, c in hot])
+    add = [F.sum(c).alias(c) for c in STATS[3:]]
+    grams = lambda turn: _count_grams(frame, f"{path}/words", size, order, parts, f"{path}/grams", size > NARROW if wide is None else wide, turn)
+    turns = [durable(grams(turn).groupBy("kind", "a", "b").agg(*add), "lm-stats") for turn in range(PASSES)]
+    sums = durable(reduce(DataFrame.union, turns).groupBy("kind", "a", "b").agg(*add), "lm-stats")
+    forget(spark, *turns)
 
     files, counts = [], np.zeros((order + 1, 4), dtype=np.int64)
     for i in range(ranges):  # every part leaves a line, an empty one too: a missing one is an error
@@ -287,7 +323,7 @@ def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         zero = F.lit(0).cast("long")
         of_v = heavy.select("a", "c", flag(F.col("c") == 1), flag(F.col("c") == 2), flag(F.col("c") >= 3), zero)
         of_w = heavy.select("b", zero, zero, zero, zero, F.lit(1).cast("long"))
-        stats = stats.union(of_v).union(of_w).groupBy("id").agg(*(F.sum(c).alias(c) for c in STATS[3:]))
+        stats = stats.union(of_v).union(of_w).groupBy("id").agg(*add)
     d = [discounts(c.tolist()) for c in counts]
     with tidy(spark):
         r = stats.agg(*each("cont"), F.sum("cont"), F.count_if(F.col("cont") > 2)).first()
@@ -301,7 +337,7 @@ def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     write_store(stats.select("id", F.col("c").alias("follow"), unigram.alias("p"), gamma.alias("g")), "id", {"follow": "int64", "p": "float64", "g": "float64"}, f"{path}/ids", F.floor(F.col("id") / step).cast("int"), ranges)
     if order == 3:
         contexts = sums.where((F.col("kind") == CONTEXT) & (F.col("c") > 1))
-        write_store(contexts.select("a", "b", "c", lost(d[3]).alias("g")), "a", {"c": "int64", "g": "float32"}, f"{path}/contexts", low="b")
+        write_store(contexts.select("a", "b", "c", "n1", "n2", "n3"), "a", {k: "int64" for k in ("c", "n1", "n2", "n3")}, f"{path}/contexts", low="b")
         write_store(heavy, "a", {"c": "int64"}, f"{path}/heavy", F.floor(F.col("a") / step).cast("int"), ranges, low="b")
     forget(spark, sums)
     model = {"words": size, "tokens": total, "order": order, "d": d, "unknown": left / (size + 1), "files": files}
@@ -311,8 +347,9 @@ def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _bisect(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each ``want`` stands in x[lo:hi], which is sorted, and whether it does."""
-    lo, top, last = lo.copy(), hi, len(x) - 1
-    hi = hi.copy()
+    lo, top, hi, last = lo.astype(np.int64), hi, hi.astype(np.int64), len(x) - 1
+    if last < 0:
+        return lo, np.zeros(len(lo), dtype=bool)
     live = np.flatnonzero(lo < hi)
     while len(live):
         mid = (lo[live] + hi[live]) >> 1
@@ -323,6 +360,25 @@ def _bisect(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, want: np.ndarray) ->
     return lo, (lo < top) & (x[np.minimum(lo, last)] == want)
 
 
+def _search(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_bisect`` for entries that often share a list with their neighbours: long lists are searched once for all."""
+    if not len(lo):
+        return _bisect(x, lo, hi, want)
+    cut = np.flatnonzero(np.append(True, lo[1:] != lo[:-1]))
+    many = np.diff(np.append(cut, len(lo)))
+    long = (many >= 4) & (hi[cut] - lo[cut] >= 128)
+    at, hit = np.empty(len(lo), dtype=np.int64), np.zeros(len(lo), dtype=bool)
+    for a, n, b, e in zip(cut[long].tolist(), many[long].tolist(), lo[cut[long]].tolist(), hi[cut[long]].tolist()):
+        own, w = x[b:e], want[a : a + n]
+        j = own.searchsorted(w.astype(own.dtype))
+        at[a : a + n] = j + b
+        j[j == len(own)] = 0
+        hit[a : a + n] = own[j] == w
+    rest = np.flatnonzero(np.repeat(~long, many))
+    at[rest], hit[rest] = _bisect(x, lo[rest], hi[rest], want[rest])
+    return at, hit
+
+
 class Grams:
     """The trie."""
 
@@ -330,49 +386,74 @@ class Grams:
         self.path, self.order, self.files = path, model["order"], model["files"]
         self.parts = Parts(len(self.files), model["words"] + 2, model["hot"], model["splits"])
         self.start = model["words"]
-        self.heavy = Store(f"{path}/heavy") if self.order == 3 else None
+        self.heavy, self.hot = (Store(f"{path}/{x}") if self.order == 3 else None for x in ("heavy", "contexts"))
 
-    def find(self, v: np.ndarray, w: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """a(vw) and, at order 3, c(uvw); 0 for what was not seen.  v and w are known words, u may be none."""
-        a, c = np.zeros(len(v), dtype=np.int64), np.zeros(len(v), dtype=np.int64)
+    def array(self, name: str, kind: str) -> np.ndarray:
+        return cached_array(f"{self.path}/grams/{name}.{kind}.npy")
+
+    def find(self, v: np.ndarray, w: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """a(vw); at order 3 c(uvw), both 0 for what was not seen, and of the context uv: c(uv.), n1, n2, n3 (of one that is not
+        stored: once, one word once).  v and w are known words, u may be none."""
+        a, c, context = np.zeros(len(v), dtype=np.int64), np.zeros(len(v), dtype=np.int64), np.ones((4, len(v)), dtype=np.int64)
+        context[2:] = 0
         if not len(v):
-            return a, c
+            return a, c, context
         part = self.parts.of(v, w, u if self.order == 3 else None)
-        order = np.lexsort((w, v, part))
+        ids = self.parts.ids
+        near = part * ids + v
+        order = np.argsort(near * ids + w if len(self.files) * ids**2 < 1 << 63 else near)  # so that neighbours read alike
         edges = np.searchsorted(part[order], np.arange(len(self.files) + 1))
         for p in np.flatnonzero(np.diff(edges)).tolist():
             own, files = order[edges[p] : edges[p + 1]], self.files[p]
             if not files:
                 continue
             file = np.zeros(len(own), dtype=np.int64)
-            for _, _, fv, fw in files[1:]:  # ends with the last file that begins at or before the pair
-                file += (v[own] > fv) | ((v[own] == fv) & (w[own] >= fw))
+            hot = self.parts.spread(v[own]) > 1
+            for _, _, fv, fw in files[1:]:  # ends with the last file that begins at or before the word, of a hot one: the pair
+                file += (v[own] > fv) | ((v[own] == fv) & (~hot | (w[own] >= fw)))
             for f in np.unique(file).tolist():
-                i = own[file == f]
-                a[i], c[i] = self._in(files[f][0], v[i], w[i], u[i])
+                i = own[file == f] if len(files) > 1 else own
+                a[i], c[i], context[:, i] = self._in(files[f][0], v[i], w[i], u[i])
         if self.heavy is not None:
             i = np.flatnonzero(self.parts.heavy(v, w))
             a[i] = self.heavy.find(v[i], "c", low=w[i])[1]
-        return a, c
+            i = np.flatnonzero(self.parts.spread(v) > 1)
+            rank, *cols = self.hot.find(_context_key(u[i], v[i]), "c", "n1", "n2", "n3", low=u[i])
+            for row, x in zip(context, cols):
+                row[i[rank >= 0]] = x[rank >= 0]
+        return a, c, context
 
     def _in(self, name: str, v, w, u):
-        x = lambda k: cached_array(f"{self.path}/grams/{name}.{k}.npy")
-        a, c = np.zeros(len(v), dtype=np.int64), np.zeros(len(v), dtype=np.int64)
+        x = lambda k: self.array(name, k)
+        a, c, context = np.zeros(len(v), dtype=np.int64), np.zeros(len(v), dtype=np.int64), np.ones((4, len(v)), dtype=np.int64)
+        context[2:] = 0
         first, at, n = x("v"), x("v.at"), x("n")
         j = np.searchsorted(first, v)
         j[j == len(first)] = 0
         live = np.flatnonzero(first[j] == v)
-        k, hit = _bisect(x("w"), at[j[live]], at[j[live] + 1], w[live])
-        live, k = live[hit], k[hit]
+        j = j[live]
+        lo, hi = at[j].astype(np.int64), at[j + 1].astype(np.int64)
+        k, hit = _search(x("w"), lo, hi, w[live])
         if self.order == 2:
-            a[live] = n[k]
-            return a, c
-        at = x("w.at")
-        lo, hi = at[k], at[k + 1]
-        a[live] = np.where(v[live] == self.start, n[lo], hi - lo)
+            a[live[hit]] = n[k[hit]]
+            return a, c, context
+        at = x("c.at")
+        lo, hi = at[j].astype(np.int64), at[j + 1].astype(np.int64)
+        q, there = _search(x("c.u"), lo, hi, u[live])
+        for row, kind in zip(context, ("c", "n1", "n2", "n3")):
+            row[live[there]] = x(f"c.{kind}")[q[there]]
+        live, k = live[hit], k[hit]
+        lengths = x("w.n")
+        block = k // STRIDE
+        lo = x("w.at")[block].astype(np.int64)
+        for i in range(STRIDE - 1):  # the lists of the block that stand before
+            before = block * STRIDE + i
+            lo += np.where(before < k, lengths[np.minimum(before, len(lengths) - 1)], 0)
+        hi = lo + lengths[k]
+        a[live] = np.where(v[live] == self.start, n[lo], hi - lo) if len(live) else 0
         k, hit = _bisect(x("u"), lo, hi, u[live])
         c[live[hit]] = n[k[hit]]
-        return a, c
+        return a, c, context
 
 
 class Model:
@@ -383,7 +464,6 @@ class Model:
         self.size, self.total, self.unknown, self.order = m["words"], m["tokens"], m["unknown"], m["order"]
         self.d = [np.array([0.0, *x]) for x in m["d"]]
         self.words, self.ids, self.grams = Store(f"{path}/words"), Store(f"{path}/ids"), Grams(path, m)
-        self.contexts = Store(f"{path}/contexts") if self.order == 3 else None
 
     @classmethod
     def open(cls, path: str) -> Model:
@@ -414,8 +494,8 @@ class Model:
         u[1:] = v[:-1]
         u[begin] = self.size + 1  # none
         both = np.flatnonzero((v >= 0) & (w >= 0))
-        a, n = np.zeros(len(w), dtype=np.int64), np.zeros(len(w), dtype=np.int64)
-        a[both], n[both] = self.grams.find(v[both], w[both], u[both])
+        a, n, context = np.zeros(len(w), dtype=np.int64), np.zeros(len(w), dtype=np.int64), np.zeros((4, len(w)), dtype=np.int64)
+        a[both], n[both], context[:, both] = self.grams.find(v[both], w[both], u[both])
         less = lambda x, d: np.where(x > 0, x - d[np.minimum(x, 3)], 0.0)
         prob = less(a, self.d[2]) / np.maximum(fv, 1) + gv * p[inv]
         if self.order == 3:
@@ -423,11 +503,10 @@ class Model:
             seen = np.zeros(len(w), dtype=bool)
             seen[1:] = a[:-1] > 0
             seen[begin] = False
+            at = np.flatnonzero(seen & (w < 0))  # an unknown word's context is looked up with a word that is known
+            context[:, at] = self.grams.find(v[at], v[at], u[at])[2]
             at = np.flatnonzero(seen)
-            total, gamma = np.ones(len(at), dtype=np.int64), np.full(len(at), self.d[3][1])
-            rank, many, left = self.contexts.find(_context_key(u[at], v[at]), "c", "g", low=u[at])
-            total[rank >= 0], gamma[rank >= 0] = many[rank >= 0], left[rank >= 0]
-            prob[at] = less(n[at], self.d[3]) / total + gamma * prob[at]
+            prob[at] = (less(n[at], self.d[3]) + self.d[3][1:] @ context[1:, at] * prob[at]) / context[0, at]
         add = lambda x: np.add.reduceat(x, begin) if len(begin) else np.zeros(0)
         return {"n_tokens": np.diff(first), "n_known": add(known[inv].astype(np.int64)), "base_score": add(base[inv]), "score": add(np.log10(prob))}
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from cairn.llm.embed_dups import op3_embedding_dedup
 from cairn.llm.jaccard import op4_ngram_jaccard
 from cairn.llm.langid import op7_language_id
-from cairn.llm.lines import OP10_SQL, op10_line_dedup
+from cairn.llm.lines import op10_line_dedup
 from cairn.llm.media import op2_media_columns
 from cairn.llm.ngram_lm import op5_lm_scoring
+from cairn.llm.oracles import ORACLE_SQL
 from cairn.llm.packing import op1_packing
 from cairn.llm.pieces import op6_sentencepiece
 from cairn.llm.spans import op9_substring_dedup
@@ -28,4 +29,4 @@ QUERIES = {
         op10_line_dedup,
     )
 }
-ORACLE_SQL = {"op10_line_dedup": OP10_SQL}
+__all__ = ["ORACLE_SQL", "QUERIES"]

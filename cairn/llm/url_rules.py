@@ -145,7 +145,7 @@ def judge(pages: DataFrame, mined: DataFrame, rules: list[tuple[str, str, str]],
     known = urls.join(explicit(urls, rules), "url", "left").join(fires(urls, mined), "url", "left")
     verdict = F.coalesce("rule_verdict", F.when(F.col("confidence").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
     known = known.select(F.col("url").alias("_url"), "rule", verdict.alias("verdict"), "confidence")
-    # urls without a host find nothing, so they need not meet in one task: no key of ``known`` begins with a space's number
+    # urls without a host find nothing, so they need not meet in one task: their keys are like no url with a host
     key = F.when(F.col("host") != "", F.col("url")).otherwise(F.concat(F.lit("\0"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.spark_partition_id().cast("string")))
     out = rows.withColumn("_key", key).join(known, F.col("_key") == F.col("_url"), "left")
     return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"), "confidence")

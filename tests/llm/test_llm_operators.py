@@ -192,7 +192,7 @@ def test_embeddings_equal_brute_force(spark, cell, monkeypatch):
     rows += [None, [], [0.0] * 24, [float("nan")] * 24, [None] * 24, [1.0, 2.0], [2.0, 4.0], [float("inf")] + [1.0] * 23]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
     real = embed_dups.links
-    monkeypatch.setattr(embed_dups, "links", lambda c, p: real(c, p, cell))
+    monkeypatch.setattr(embed_dups, "links", lambda c, path, plan: real(c, path, plan, cell))
     got = {r.vec_id: r for r in embed_dups.near_duplicates(df).collect()}
     pairs = _cosines(rows)
     deg, label = Counter(i for i, _ in pairs), _least(len(rows), pairs)
@@ -277,7 +277,8 @@ def _kneser_ney(train, texts, order):
 def test_model_equals_brute_force(spark, odd_docs, order, wide, monkeypatch):
     hot = spark.createDataFrame([(i, " ".join(random.Random(i).choices(["a", "a", "b", "b c", f"w{i % 9}"], k=60))) for i in range(200)], "doc_id long, text string")
     monkeypatch.setattr(ngram_lm, "SHARD", 300)  # several files a part
-    for train, docs in ((docs_of(spark), docs_of(spark)), (odd_docs, odd_docs), (odd_docs.limit(0), odd_docs), (odd_docs, odd_docs.limit(0)), (hot.repartition(5), hot)):
+    other = spark.createDataFrame([(i, " ".join(random.Random(-i).choices(["a", "b", "c", "new", *(f"w{k}" for k in range(9))], k=60))) for i in range(40)], "doc_id long, text string")
+    for train, docs in ((docs_of(spark), docs_of(spark)), (odd_docs, odd_docs), (odd_docs.limit(0), odd_docs), (odd_docs, odd_docs.limit(0)), (hot.repartition(5), hot.union(other))):
         train, docs = train.select("doc_id", "text"), docs.select("doc_id", "text").coalesce(1)
         got = ngram_lm.score(docs, ngram_lm.train_model(train, order=order, wide=wide)).collect()
         want = _kneser_ney([r.text for r in train.collect()], [r.text for r in docs.collect()], order)
@@ -347,7 +348,7 @@ def test_code_lengths_equal_brute_force():
 
     queries = [x for _, x in texts] + ["", "q", "xyzq é", "\x00"]
     for order in (0, 1, 3):
-        trees = langid.Trees.fit(texts, order, 1, 10**7)
+        trees = langid.Trees.fit(texts, order, 1)
         got = trees.lengths(pa.array(queries), step=37)
         for i, q in enumerate(queries):
             for j, lang in enumerate(trees.langs):
@@ -385,17 +386,26 @@ def test_mined_rules_equal_brute_force(spark):
     random.seed(2)
     rows = [(f"http://{h}.site.com/{p}/{random.randint(1, 9)}?{q}=1", h == "bad" and p == "spam") for h in ("bad", "good", "other") for p in ("spam", "news") for q in ("a", "b") for _ in range(6)]
     labelled = spark.createDataFrame([*rows, (None, True), ("http://x.com", None)], "url string, block boolean")
-    rules = url_rules.mine(spark, labelled, 0.05, 0.9).collect()
+    rules = url_rules.mine(spark, labelled, 0.05, 0.9, 1).collect()
     tokens = {u: set(r.t) for u, r in ((r.url, r) for r in url_rules.parts(labelled.where("url is not null")).select("url", url_rules.url_tokens().alias("t")).collect())}
     from itertools import combinations
 
+    # one token for all that occur in the same labelled urls
+    where = lambda t: tuple(t in tokens[u] for u, _ in rows)
+    first = {}
+    for t in sorted({t for u, _ in rows for t in tokens[u]}):
+        first.setdefault(where(t), t)
+    kept = set(first.values())
+    tokens = {u: ts & kept for u, ts in tokens.items()}
+    suffixes = lambda t: {f"d:{'.'.join(t[2:].split('.')[i:])}" for i in range(t.count(".") + 1)} if t.startswith("d:") else {t}
+    closed = lambda c: set().union(*map(suffixes, c))
     good = {}
     for k in (1, 2, 3):
         for c in {c for t in tokens.values() for c in combinations(sorted(t), k)}:
             hit = [b for u, b in rows if tokens[u] >= set(c)]
             if hit and sum(hit) / len(hit) >= 0.9 and sum(hit) / len(rows) >= 0.05:
                 good[c] = sum(hit) / len(hit)
-    want = {c for c, conf in good.items() if not any(set(o) < set(c) and oc >= conf for o, oc in good.items())}
+    want = {c for c, conf in good.items() if not any(o != c and set(o) <= closed(c) and oc >= conf for o, oc in good.items())}
     assert {tuple(r.tokens) for r in rules} == want
     pages = labelled.select("url").distinct()
     index = spark.createDataFrame(rules, "rule long, tokens array<string>, confidence double, support double")
@@ -412,6 +422,17 @@ def test_mined_rules_of_many_tokens(spark):
     assert [r.tokens for r in url_rules.mine(spark, labelled, 0.05, 0.9).collect()] == [[f"q:{x}" for x in names]]
 
 
+def test_itemsets_are_bounded_before_mining(spark):
+    """Forty names that always come together are one item; thirty that do not are too many to list, and that is said."""
+    together = "&".join(f"n{i}=1" for i in range(40))
+    labelled = spark.createDataFrame([(f"http://h.org/{i}?{together}", True) for i in range(6)] + [(f"http://h.org/{i}", False) for i in range(9)], "url string, block boolean")
+    assert [r.tokens for r in url_rules.mine(spark, labelled, 0.05, 0.9).collect()] == [["q:n0"]]
+    rng = random.Random(1)
+    apart = [(f"http://h.org/{i}?{'&'.join(f'n{k}=1' for k in range(30) if rng.random() < 0.9)}", True) for i in range(40)]
+    with pytest.raises(ValueError, match="min_support"):
+        url_rules.mine(spark, spark.createDataFrame(apart, "url string, block boolean"), 0.05, 0.9)
+
+
 def _spans(texts, window):
     words = [(t or "").encode().split() for t in texts]
     seen = Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))

@@ -10,7 +10,7 @@ documents: a table of fixed size; any order is correct, this one keeps lists sho
 A set is told from others by 128 bits of hash and is then known by a number of its own.
 
 Answer level: a list's sets of one size class (a power of the threshold) are all first compared with one set, the class's
-hub: the one that comes first in an order that all lists share, so that near copies meet at the same hub everywhere.  A set
+hub: the one found in most lists, so that near copies meet at the same hub nearly everywhere.  A set
 that links to the hub takes over its answers: both are one component, and pairs within it need no look.  For the others the
 hub's computed distances bound theirs: Jaccard distance is a metric, so a pair whose distances to a common hub differ by
 more than 1 - t is skipped.
@@ -110,8 +110,8 @@ def signatures(frame: DataFrame, n: int, num: int, den: int, buckets: str, keys:
 
 
 def index_lists(classes: DataFrame, num: int, den: int) -> DataFrame:
-    """token, class, cid, size, pos, hub: the index by list and size class, without the entries that are alone in
-    their own and the neighbouring classes; hub: the least cid of the list's sets of that class."""
+    """token, class, cid, size, pos: the index by list and size class, without the entries that are alone in their own and the
+    neighbouring classes."""
     base = np.log(den / num) if den > num else 1.0
 
     def postings(batches):
@@ -126,32 +126,55 @@ def index_lists(classes: DataFrame, num: int, den: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(arrays | {"cid": pa.array(np.repeat(part.column(0).to_numpy(), n)), "size": pa.array(np.repeat(size, n), pa.int32()), "pos": pa.array(pos, pa.int32())})
 
     def shared(batches):
-        last, linked, hub = None, False, 0  # the last row waits for what follows it
-
-        def out(rows, keep, hubs):
-            keep = np.flatnonzero(keep)
-            return pa.RecordBatch.from_arrays([*rows.take(pa.array(keep)).columns, pa.array(hubs[keep])], names=[*rows.schema.names, "hub"])
-
+        last, linked = None, False  # the last row waits for what follows it
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = pa.Table.from_batches([*([last] if last is not None else []), batch]).combine_chunks().to_batches()[0]
-            t, c, cid = (rows.column(i).to_numpy() for i in range(3))
+            t, c = (rows.column(i).to_numpy() for i in range(2))
             joined = (t[1:] == t[:-1]) & (c[1:] - c[:-1] <= 1)
             keep = np.append(False, joined) | np.append(joined, False)
             keep[0] |= linked
-            begins = np.append(True, (t[1:] != t[:-1]) | (c[1:] != c[:-1]))
-            hubs = cid[np.maximum.accumulate(np.where(begins, np.arange(len(t)), 0))].copy()
-            if last is not None:  # the first row's class began in an earlier batch
-                hubs[: int(np.argmax(begins[1:])) + 1 if begins[1:].any() else len(t)] = hub
-            yield out(rows, np.append(keep[:-1], False), hubs)
-            last, linked, hub = rows.slice(rows.num_rows - 1), bool(keep[-1]), int(hubs[-1])
+            yield rows.filter(pa.array(np.append(keep[:-1], False)))
+            last, linked = rows.slice(rows.num_rows - 1), bool(keep[-1])
         if last is not None and linked:
-            yield out(last, np.array([True]), np.array([hub]))
+            yield last
 
     schema = "token long, class int, cid long, size int, pos int"
     rows = classes.select("cid", "size", "prefix").mapInArrow(postings, schema)
-    return by_range(rows, "token", "class", "cid").mapInArrow(shared, schema + ", hub long")
+    return by_range(rows, "token", "class").mapInArrow(shared, schema)
+
+
+def with_hubs(lists: DataFrame, spread: str) -> DataFrame:
+    """Adds hub: the set of a list's size class that is in most lists, by the store ``spread`` (cid -> number of lists)."""
+
+    def run(batches):
+        held, waiting = [], 0
+        for batch in batches:
+            held.append(batch)
+            waiting += batch.num_rows
+            if waiting < 50_000:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            t, c = (rows.column(i).to_numpy() for i in range(2))
+            first = int(np.searchsorted(t, t[-1]))
+            cut = first + int(np.searchsorted(c[first:], c[-1]))  # the last class may go on
+            if cut:
+                yield led(rows.slice(0, cut))
+            held, waiting = [rows.slice(cut)], 0
+        if held and (rows := pa.Table.from_batches(held).combine_chunks().to_batches()):
+            yield led(rows[0])
+
+    def led(rows):
+        t, c, cid = (rows.column(i).to_numpy() for i in range(3))
+        n = Store.open(spread).find(cid, "n")[1]
+        cut = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (c[1:] != c[:-1])))
+        size = np.diff(np.append(cut, len(t)))
+        most = np.repeat(np.maximum.reduceat(n, cut), size)
+        hub = np.maximum.reduceat(np.where(n == most, cid, -1), cut)
+        return pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.repeat(hub, size))], names=[*rows.schema.names, "hub"])
+
+    return by_range(lists, "token", "class").mapInArrow(run, "token long, class int, cid long, size int, pos int, hub long")
 
 
 def by_number(df: DataFrame, key: str, values: dict[str, str], path: str, parts: int, low: str | None = None) -> None:
@@ -312,11 +335,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = signed.where("high is not null").groupBy("high", "low").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"), own_id)
     classes = durable(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")  # written once, so a class keeps its number
     parts = ((classes.agg(F.max("cid")).first()[0] or 0) >> 33) + 1
-    lists = durable(index_lists(classes, num, den), "lists")
-    wanted, sets, labels, answers = (new_path(spark, x) for x in ("wanted", "sets", "labels", "answers"))
-    write_store(classes.join(lists.select("cid").distinct(), "cid", "left_semi"), "high", {"cid": "int64", "least": "int64"}, wanted, low="low")
+    bare = durable(index_lists(classes, num, den), "bare-lists")
+    spread = durable(bare.groupBy("cid").agg(F.count("*").alias("n")), "spread")
+    spreads, wanted, sets, labels, answers = (new_path(spark, x) for x in ("spreads", "wanted", "sets", "labels", "answers"))
+    by_number(spread, "cid", {"n": "int64"}, spreads, parts)
+    lists = durable(with_hubs(bare, spreads), "lists")
+    forget(spark, bare, spreads)
+    write_store(classes.join(spread, "cid", "left_semi"), "high", {"cid": "int64", "least": "int64"}, wanted, low="low")
     member_sets(frame, n, wanted, sets, parts)
-    forget(spark, wanted)
+    forget(spark, wanted, spread)
 
     asked = durable(compare(lists.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")), sets, num, den), "hub-answers")
     first = asked.where("linked").select("a", "b")

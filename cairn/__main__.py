@@ -1,4 +1,4 @@
-"""python -m cairn snapshot | discover | silver | gold | replay: one stage a call, its result as one JSON line."""
+"""python -m cairn snapshot | dimension | discover | silver | gold | replay: one stage a call, its result as one JSON line."""
 
 from __future__ import annotations
 
@@ -53,6 +53,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--spec", required=True)
     p.add_argument("--key", action="append", default=[], help="a partition; default: every promoted one")
     p.add_argument("--ref", type=_pair, action="append", default=[], metavar="NAME=PARQUET")
+    p = stage("dimension", "the country dimension, from semicolon-separated text")
+    p.add_argument("--raw", required=True)
+    p.add_argument("--names", required=True, help="YAML: `name`, `names` (raw column: column) and `keep` (columns)")
     p = stage("replay", "drop what was built of entities and mark their partitions dirty")
     p.add_argument("entities", nargs="+")
     return top
@@ -73,6 +76,9 @@ def run(spark: SparkSession, a: argparse.Namespace) -> object:
         columns = [(c["raw"], c["name"], c["type"]) for c in load(a.columns)["columns"]]
         return snapshot(spark, a.raw, a.out, columns, a.start, a.cutoff, a.version, a.overwrite)
     w = Warehouse(spark, a.root)
+    if a.stage == "dimension":
+        spec = load(a.names)
+        return {"rows": w.build_dimension(a.raw, spec["name"], spec["names"], spec["keep"]).count()}
     if a.stage == "discover":
         w.discover(a.bronze, load(a.routes), run_id)
         return {"dirty": w.dirty.read().where("status = 'dirty'").count()}

@@ -39,12 +39,30 @@ def snake(name: str, known: dict[str, str] | None = None) -> str:
     return (known or {}).get(name) or re.sub(r"\s", "_", name.lower())
 
 
+def _in_order(c: Column, t: T.DataType) -> Column:
+    """A nested value with the keys of all its structs and maps in order."""
+    if isinstance(t, T.StructType):
+        fields = sorted(t.fields, key=lambda f: f.name)
+        return F.when(c.isNotNull(), F.struct(*(_in_order(c.getField(f.name), f.dataType).alias(f.name) for f in fields)))
+    if isinstance(t, T.ArrayType):
+        return F.transform(c, lambda x: _in_order(x, t.elementType))
+    if isinstance(t, T.MapType):
+        entries = F.array_sort(F.map_entries(F.transform_values(c, lambda _, v: _in_order(v, t.valueType))), lambda x, y: F.when(x["key"] < y["key"], -1).otherwise(1))
+        return F.map_from_entries(entries)
+    return _time(c) if isinstance(t, (T.TimestampType, T.TimestampNTZType)) else c
+
+
+def _time(c: Column) -> Column:
+    """ISO to the second, with six digits of a fraction where there is one."""
+    return F.when(F.date_format(c, "SSSSSS") == "000000", F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+
+
 def cell(c: Column, t: T.DataType) -> Column:
-    """A cell as hashed text: null is empty, times are ISO, nested values are JSON."""
+    """A cell as hashed text: null is empty, times are ISO, nested values are JSON with their keys in order."""
     if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+        c = _time(c)
     elif isinstance(t, (T.StructType, T.ArrayType, T.MapType)):
-        c = F.to_json(c)
+        c = F.to_json(_in_order(c, t), {"ignoreNullFields": "false"})
     return F.coalesce(c.cast("string"), F.lit(""))
 
 

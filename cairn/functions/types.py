@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 #: Synonym -> canonical name.
 SYNONYMS = {
-    "STRING": "VARCHAR", "TEXT": "VARCHAR", "CHAR": "VARCHAR", "VARCHAR": "VARCHAR",
+    "STRING": "VARCHAR", "TEXT": "VARCHAR", "CHAR": "VARCHAR", "CHARACTER VARYING": "VARCHAR", "VARCHAR": "VARCHAR",
     "INT": "INTEGER", "INT4": "INTEGER", "SMALLINT": "INTEGER", "TINYINT": "INTEGER", "UINTEGER": "INTEGER", "INTEGER": "INTEGER",
     "INT8": "BIGINT", "LONG": "BIGINT", "UBIGINT": "BIGINT", "BIGINT": "BIGINT",
-    "FLOAT": "DOUBLE", "REAL": "DOUBLE", "DOUBLE": "DOUBLE",
+    "FLOAT": "DOUBLE", "REAL": "DOUBLE", "FLOAT4": "DOUBLE", "FLOAT8": "DOUBLE", "DOUBLE": "DOUBLE",
     "BOOL": "BOOLEAN", "BOOLEAN": "BOOLEAN",
-    "DATETIME": "TIMESTAMP", "TIMESTAMP": "TIMESTAMP", "TIMESTAMP_NTZ": "TIMESTAMP",
+    "DATETIME": "TIMESTAMP", "TIMESTAMP": "TIMESTAMP", "TIMESTAMP_NTZ": "TIMESTAMP", "TIMESTAMP WITHOUT TIME ZONE": "TIMESTAMP",
     "TIMESTAMPTZ": "TIMESTAMPTZ", "TIMESTAMP WITH TIME ZONE": "TIMESTAMPTZ", "TIMESTAMP_LTZ": "TIMESTAMPTZ",
     "DATE": "DATE", "JSON": "VARCHAR",
 }

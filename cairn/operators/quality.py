@@ -75,17 +75,19 @@ def _optional(test: dict, have: dict) -> dict:
     return out
 
 
-def run(df: DataFrame, columns: list[dict], key: list[str] = (), partition: tuple[str, str, str] | None = None, tests: list[dict] = (), foreign_keys: list[tuple[str, DataFrame, str]] = ()) -> Report:
-    """``partition``: (column, grain, key); ``tests``: the contract's list, each a mapping of one name."""
+def run(df: DataFrame, columns: list[dict], key: list[str] = (), partition: tuple[str, str, str] | None = None, tests: list[dict] = (), foreign_keys: list[tuple[str, DataFrame, str]] = (), more: list[str] = (), stamped: list[str] = ()) -> Report:
+    """``partition``: (column, grain, key); ``tests``: the contract's list, each a mapping of one name; ``more``: columns that
+    must be there besides the contract's (lineage, extra, row_hash); ``stamped``: those of them without a null."""
     have = {c.lower(): c for c in df.columns}
-    lost = [c["name"] for c in columns if c["name"].lower() not in have]
-    extra = sorted(set(have) - {c["name"].lower() for c in columns})
+    expected = list(dict.fromkeys([*(c["name"] for c in columns), *more, *stamped]))
+    lost = [n for n in expected if n.lower() not in have]
+    extra = sorted(set(have) - {n.lower() for n in expected})
     out = [Result("schema", not lost, len(lost), f"missing {lost}" if lost else f"extra {extra}" if extra else "")]
     types = dict(df.dtypes)
     wrong = [c["name"] for c in columns if (n := have.get(c["name"].lower())) and of_spark(types[n]) != canonical(c["type"])]
     out.append(Result("types_match", not wrong, len(wrong), str(wrong) if wrong else ""))
     there = lambda names: [n for n in names if n.lower() in have]
-    filled = there(dict.fromkeys([*(c["name"] for c in columns if not c.get("nullable", True)), *(n for t in tests for n in t.get("not_null", []))]))
+    filled = there(dict.fromkeys([*(c["name"] for c in columns if not c.get("nullable", True)), *(n for t in tests for n in t.get("not_null", [])), *stamped]))
     signed = there(dict.fromkeys([*(c["name"] for c in columns if str(c.get("dq", "")).replace(" ", "") == ">=0"), *(n for t in tests for n in t.get("non_negative", []))]))
     checks = {"rows": F.count(F.lit(1))}
     if key := there(key):
@@ -98,6 +100,8 @@ def run(df: DataFrame, columns: list[dict], key: list[str] = (), partition: tupl
         if "reconcile" in t:
             checks[f"reconcile:{t['reconcile']['name']}"] = F.count_if(~F.expr(rule_sql(t["reconcile"]["expression"])))
         checks |= _optional(t, have)
+    if "row_hash" in have and "row_hash" in more:
+        checks["row_hash_length"] = F.count_if(F.coalesce(F.length(have["row_hash"]) != 64, F.lit(True)))
     if partition:
         text = F.date_format(partition[0], "yyyy-MM") if partition[1] == "month" and types.get(partition[0]) == "date" else F.col(partition[0]).cast("string")
         checks |= {"lo": F.min(text), "hi": F.max(text)}
@@ -115,7 +119,7 @@ def run(df: DataFrame, columns: list[dict], key: list[str] = (), partition: tupl
     for names in [key, *(t["unique"] for t in tests if "unique" in t and list(t["unique"]) != list(key))]:
         if names:
             n = duplicated_keys(df, names).count()
-            out.append(Result("pk_unique", n == 0, n))
+            out.append(Result("pk_unique" if list(names) == list(key) else f"unique:{','.join(names)}", n == 0, n))
     for column, ref, ref_key in foreign_keys:
         n = unmatched(df, column, ref, ref_key).count()
         out.append(Result(f"ri:{column}->{ref_key}", n == 0, n))

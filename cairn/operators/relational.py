@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,14 +12,19 @@ from pyspark.sql import functions as F
 from cairn.functions.text import row_hash
 from cairn.functions.types import read_as, spark_type
 
-#: A dimension is sent to all executors only up to this many rows (counted first).
-SMALL_ROWS = 100_000
+#: A dimension is sent to all executors only up to this many bytes (measured first, in the same pass that checks its keys).
+SMALL_BYTES = 32 << 20
+
+
+def quoted(name: str) -> Column:
+    """A column by its whole name, whatever that holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def ensure(df: DataFrame, columns: list[str], types: dict[str, str] | None = None) -> DataFrame:
     """Exactly these columns in this order; what is missing is null."""
     have = set(df.columns)
-    return df.select(*(F.col(f"`{c}`") if c in have else F.lit(None).cast(spark_type((types or {}).get(c, "STRING"))).alias(c) for c in columns))
+    return df.select(*(quoted(c) if c in have else F.lit(None).cast(spark_type((types or {}).get(c, "STRING"))).alias(c) for c in columns))
 
 
 def harmonize(df: DataFrame, columns: list[dict], lineage: list[str] = ()) -> DataFrame:
@@ -57,6 +63,9 @@ def join_dimension(df: DataFrame, dim: DataFrame, on, select: list[str], alias:
     if alias and rename:
         raise ValueError("alias and rename exclude each other")
     left, right = keys_of(on, df.columns, dim.columns)
+    gone = [c for c in rename or {} if c not in select]
+    if gone:
+        raise KeyError(f"renamed columns that are not selected: {gone}")
     names = {c: (rename or {}).get(c, f"{alias}{c}") for c in dict.fromkeys(select)}
     clash = [n for n in names.values() if n in df.columns]
     if clash or len(set(names.values())) < len(names):
@@ -70,7 +79,8 @@ def join_dimension(df: DataFrame, dim: DataFrame, on, select: list[str], alias:
         order = Window.partitionBy(*right).orderBy(*slim.columns)
         slim = slim.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn")
     look = slim.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(right)), *(F.col(c).alias(n) for c, n in names.items()), F.lit(True).alias("_hit"))
-    if look.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+    size = F.sum(reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in look.columns]))
+    if (look.agg(size).first()[0] or 0) <= SMALL_BYTES:
         look = F.broadcast(look)
     cond = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(left)]
     joined = df.join(look, cond, "left").drop(*(f"_k{i}" for i in range(len(right))))
@@ -80,6 +90,13 @@ def join_dimension(df: DataFrame, dim: DataFrame, on, select: list[str], alias:
     return joined.where("_hit").drop("_hit"), lost
 
 
+def join_metrics(df: DataFrame, joined: DataFrame, rejects: DataFrame, required: bool, added: list[str]) -> dict:
+    """What a lookup did: rows in, out and rejected, and rows that found nothing.  Asked for when wanted: it reads rows."""
+    rows, out, lost = df.count(), joined.count(), rejects.count()
+    unmatched = lost if required else joined.where(reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNull() for c in added])).count()
+    return {"rows_in": rows, "rows_out": out, "rejected": lost, "unmatched": unmatched, "matched": rows - unmatched}
+
+
 def rule_sql(text: str) -> str:
     """A rule's text as SQL: == is =, lists in brackets are lists in parentheses."""
     parts = re.split(r"('(?:[^']|'')*'|\"[^\"]*\")", text)

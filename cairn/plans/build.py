@@ -11,7 +11,7 @@ from cairn.operators import quality
 from cairn.operators.relational import diff_counts, partition_hash, with_row_hash
 from cairn.plans import control as C
 from cairn.plans import publish as P
-from cairn.plans.contracts import Contract, canonicalize, transform
+from cairn.plans.contracts import Contract, canonicalize, exposed, transform
 from cairn.sources import readers
 
 
@@ -53,6 +53,9 @@ class Warehouse:
         self.links.append(fresh)
         stamped = self.links.read().where(F.col("linked_at") == F.lit(now).cast("timestamp"))
         self.dirty.replace(C.mark_dirty(self.dirty.read(), stamped, now))
+        seen = self.manifest.read().where(F.col("discovered_at") == F.lit(now).cast("timestamp")).groupBy("source_id").agg(F.count("*").alias("files"), F.sum("file_size").alias("bytes"), F.count_if(F.col("status") == "failed").alias("failed"))
+        events = [P.Event("discover", run_id, "1", "bronze", r.source_id, rows=r.files, stats={"bytes": r.bytes, "failed": r.failed}) for r in seen.collect()]  # one row a source
+        P.emit_all(events, [self.lineage])
 
     def publish(self, df: DataFrame, contract: Contract, key: str, layer: str, run_id: str, rows_in: int, rejected: int, report: quality.Report, inputs: list[P.Input]) -> dict:
         column, path = contract.partitions[0], f"{self.root}/{contract.entity}"
@@ -63,7 +66,7 @@ class Warehouse:
         rows = df.count()
         P.swap_partition(df, path, column, contract.grain, key)
         row = (contract.entity, key, run_id, layer, rows_in, rows, rejected, counts["inserts"], counts["updates"], counts["deletes"], digest["partition_hash"] if digest else None, report.status, report.status == "passed", datetime.now(UTC))
-        self.commits.replace(P.insert_commits(self.commits.read(), self.spark.createDataFrame([row], P.COMMITS)))
+        self.commits.append(P.new_commits(self.commits.read(), self.spark.createDataFrame([row], P.COMMITS)))
         P.emit(P.Event("partition_published", run_id, "1", layer, contract.entity, key, rows, row[10], report.status, counts, tuple(inputs)), [self.lineage])
         return counts | {"rows": rows, "partition_hash": row[10], "rejected": rejected}
 
@@ -78,7 +81,9 @@ class Warehouse:
             stamp = {"_build_at": F.lit(datetime.now(UTC).isoformat()), "_ingest_run_id": F.lit(run_id), "_transform_version": F.lit("1")}
             rows = rows.withColumns({k: v for k, v in stamp.items() if k in rows.columns}).persist()
             try:
-                report = quality.run(rows, contract.columns, contract.key, (contract.partitions[0], contract.grain, item.partition_key))
+                more = [*contract.body.get("canonicalizer", {}).get("output", {}).get("extra", []), *contract.lineage, "row_hash"]
+                report = quality.run(rows, contract.columns, contract.key, (contract.partitions[0], contract.grain, item.partition_key), more=more)
+                P.emit(P.Event("transform_run", run_id, "1", "silver", contract.entity, item.partition_key, dq_status=report.status, stats=report.summary, inputs=tuple(P.Input("bronze", i["file_path"].rsplit("/", 1)[0], i["file_path"], i["content_hash"]) for i in inputs)), [self.lineage])
                 report.gate()
                 lost.select(F.lit(contract.entity).alias("entity"), F.lit(item.partition_key).alias("partition_key"), F.lit(run_id).alias("run_id"), "reject_reasons", F.to_json(F.struct("*")).alias("payload")).write.mode("append").parquet(f"{self.root}/rejects")
                 out = self.publish(rows, contract, item.partition_key, "silver", run_id, raw.count(), lost.count(), report, [P.Input("bronze", i["file_path"].rsplit("/", 1)[0], i["file_path"], i["content_hash"]) for i in inputs])
@@ -100,11 +105,35 @@ class Warehouse:
         source = self.read(entity)
         df = transform(source, plan, P.partition_predicate(contract.partitions[0], contract.grain, key))
         df = df.withColumns({"_ingest_run_id": F.lit(run_id), "_transform_version": F.lit(1).cast("bigint"), "_built_at": F.lit(datetime.now(UTC))})
-        keys = [(f["column"], refs[t], k) for f in contract.foreign_keys for t, k in [quality.reference(f["references"])] if t in refs]
-        report = quality.run(df, contract.columns, contract.key, (contract.partitions[0], contract.grain, key), contract.tests, keys)
-        report.gate()
-        hashed = with_row_hash(df, [c["name"] for c in contract.columns if not c["name"].startswith("_")])
-        return self.publish(hashed, contract, key, "gold", run_id, df.count(), 0, report, [P.Input("silver", entity)])
+        df = with_row_hash(df, [c["name"] for c in contract.columns if not c["name"].startswith("_")]).persist()
+        try:
+            keys = [(f["column"], refs[t], k) for f in contract.foreign_keys for t, k in [quality.reference(f["references"])] if t in refs]
+            report = quality.run(df, contract.columns, contract.key, (contract.partitions[0], contract.grain, key), contract.tests, keys, stamped=contract.lineage)
+            P.emit(P.Event("transform_run", run_id, "1", "gold", contract.entity, key, dq_status=report.status, stats=report.summary, inputs=(P.Input("silver", entity),)), [self.lineage])
+            report.gate()
+            return self.publish(df, contract, key, "gold", run_id, df.count(), 0, report, [P.Input("silver", entity)])
+        finally:
+            df.unpersist()
+
+    def build_dimension(self, raw: str, name: str, names: dict[str, str], keep: list[str]) -> DataFrame:
+        """The country dimension: semicolon-separated text to one Parquet table, written whole and read back."""
+        dim = readers.country_dimension(readers.csv(self.spark, raw, sep=";"), names).select("country_id", *keep)
+        twice = quality.duplicated_keys(dim, ["iso_country"]).limit(5).collect()
+        if twice:
+            raise ValueError(f"codes that repeat: {[r.iso_country for r in twice]}")
+        path = f"{self.root}/dims/{name}"
+        dim.coalesce(1).write.mode("overwrite").parquet(path)  # some 250 rows
+        return self.spark.read.parquet(path)
+
+    def expose(self, spec: dict, name: str | None = None) -> DataFrame:
+        """A temporary view of an entity without lineage and row hash; returns it."""
+        contract = Contract.of(spec)
+        rows = self.read(contract.entity)
+        if rows is None:
+            raise ValueError(f"{contract.entity} is not built")
+        view = exposed(rows, contract)
+        view.createOrReplaceTempView(name or f"{contract.entity}_exposed")
+        return view
 
     def replay(self, *entities: str) -> None:
         """Drops what was built and marks every partition dirty again; snapshots and manifest stay."""

@@ -92,12 +92,54 @@ def transform(source: DataFrame, plan: dict, where=None) -> DataFrame:
     return df.select(*(F.col(f"`{n}`").cast(spark_type(types[n])).alias(n) if n in types else F.col(f"`{n}`") for n in order))
 
 
-def metric(df: DataFrame, spec: dict, by: list[str]) -> DataFrame:
-    """A declared metric over some of its declared dimensions."""
+AGGREGATIONS = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}
+
+
+def rollup(df: DataFrame, columns: list[dict], by: list[str]) -> DataFrame:
+    """All columns that a contract gives an ``agg`` to, over some of the others."""
+    known = {c["name"] for c in columns}
+    hints = {c["name"]: c["agg"] for c in columns if c.get("agg")}
+    wrong = [n for n in by if n not in known or n in hints] + [n for n, how in hints.items() if how not in AGGREGATIONS]
+    if wrong or not hints:
+        raise ValueError(f"columns that cannot be rolled up by, or how: {wrong}" if wrong else "no column has an agg")
+    return df.groupBy(*by).agg(*(AGGREGATIONS[how](f"`{n}`").alias(n) for n, how in hints.items()))
+
+
+def exposed(df: DataFrame, c: Contract) -> DataFrame:
+    """The exposure view: without lineage and the row hash, all else in its order."""
+    hidden = {*c.lineage, "row_hash"}
+    return df.select(*(F.col(f"`{n}`") for n in df.columns if n not in hidden and not n.startswith("_")))
+
+
+def validate_metric(df: DataFrame, spec: dict) -> dict[str, int]:
+    """Violations of each of a metric's ``validations``, counted over its record set before it is added up: non_negative,
+    equals_components (an expression; null breaks nothing)."""
+    checks = {}
+    for v in spec.get("validations", []):
+        name, body = (v, {}) if isinstance(v, str) else next(iter(v.items()))
+        if name == "non_negative":
+            bad = F.expr(spec["formula"]) < 0
+        elif name == "equals_components":
+            bad = ~F.expr(R.rule_sql(body["expression"]))
+        else:
+            raise ValueError(f"unknown validation: {name}")
+        checks[name] = F.count_if(F.coalesce(bad, F.lit(False))).alias(name)
+    return _records(df, spec).agg(*checks.values()).first().asDict() if checks else {}
+
+
+def _records(df: DataFrame, spec: dict) -> DataFrame:
+    for f in spec.get("record_set", {}).get("filters", []):
+        df = df.where(R.rule_sql(f["expression"]))
+    return df
+
+
+def metric(df: DataFrame, spec: dict, by: list[str], strict: bool = False) -> DataFrame:
+    """A declared metric over some of its declared dimensions; ``strict``: its validations must hold."""
     other = [d for d in by if d not in spec.get("allowed_dimensions", [])]
     if other:
         raise ValueError(f"dimensions that {spec['name']} does not allow: {other}")
-    for f in spec.get("record_set", {}).get("filters", []):
-        df = df.where(R.rule_sql(f["expression"]))
-    how = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}[spec.get("default_aggregation", "sum")]
-    return df.groupBy(*by).agg(how(F.expr(spec["formula"])).alias(spec["name"]))
+    broken = {k: n for k, n in validate_metric(df, spec).items() if n} if strict else {}
+    if broken:
+        raise ValueError(f"{spec['name']}: {broken}")
+    how = AGGREGATIONS[spec.get("default_aggregation", "sum")]
+    return _records(df, spec).groupBy(*by).agg(how(F.expr(spec["formula"])).alias(spec["name"]))

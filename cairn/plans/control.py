@@ -45,16 +45,23 @@ def supersede(rows: DataFrame, path: str, at: str) -> DataFrame:
 
 
 def route(files: DataFrame, router: DataFrame, source_only: bool = False) -> DataFrame:
-    """Files with every enabled route that fits: the same source, or a route for any, and a path that its pattern fits."""
-    r = router.where("enabled").select("route_id", F.col("source_id").alias("_source"), "path_regex", "entity", F.col("grain").alias("route_grain"))
-    fits = F.col("source_id") == F.col("_source")
-    named = files.join(F.broadcast(r.where("_source is not null")), fits) if source_only else None
-    if named is None:
-        of_source = r.where("_source is not null")
-        any_source = r.where("_source is null").withColumn("_all", F.lit(1))
-        named = files.join(of_source, fits).unionByName(files.withColumn("_all", F.lit(1)).join(any_source, "_all").drop("_all"))
-        named = named.where(F.col("path_regex").isNull() | F.expr("file_path rlike path_regex"))
-    return named.drop("_source", "path_regex")
+    """Files with every enabled route that fits: the same source, or a route for any, and a path that its pattern fits
+    (``source_only``: routes of a source alone, whatever their patterns).
+
+    Routes are a configuration that the driver read from one file, so they travel as literals: each file tries each of them
+    where it lies, and nothing is joined or dealt out."""
+    rows = [r.asDict() for r in router.where("enabled").collect()]  # as many as the file has
+    rows = [r for r in rows if r["source_id"] is not None] if source_only else rows
+    kind = "array<struct<route_id:string,entity:string,route_grain:string>>"
+    if not rows:
+        return files.withColumn("_r", F.explode(F.array().cast(kind))).select(*files.columns, "_r.*")
+    tried = []
+    for r in rows:
+        fits = F.lit(True) if r["source_id"] is None else F.col("source_id") == r["source_id"]
+        if r["path_regex"] is not None and not source_only:
+            fits &= F.rlike("file_path", F.lit(r["path_regex"]))
+        tried.append(F.when(fits, F.struct(F.lit(r["route_id"]).alias("route_id"), F.lit(r["entity"]).alias("entity"), F.lit(r["grain"]).alias("route_grain"))))
+    return files.withColumn("_r", F.explode(F.filter(F.array(*tried), lambda x: x.isNotNull()))).select(*files.columns, "_r.*")
 
 
 def link(manifest: DataFrame, router: DataFrame, links: DataFrame, at: str) -> DataFrame:

@@ -59,13 +59,15 @@ def latest_per_key(spark, d):
     return R.latest(t(spark, d, "events"), ["user_id", "event_type"], "ts", ["event_id"]).select("user_id", "event_type", "event_id")
 
 
-@query("""WITH o AS (SELECT o_orderkey AS k, o_custkey AS h FROM orders WHERE o_orderkey % 3 <> 0),
-n AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN o_custkey + 1 ELSE o_custkey END AS h FROM orders WHERE o_orderkey % 5 <> 0)
+@query("""WITH o AS (SELECT o_orderkey AS k, o_custkey AS h FROM orders WHERE o_orderstatus <> 'P'),
+n AS (SELECT o_orderkey AS k, CASE WHEN year(o_orderdate) = 1995 THEN o_custkey + 1 ELSE o_custkey END AS h FROM orders WHERE o_orderstatus = 'P' OR year(o_orderdate) <> 1993)
 SELECT count(*) FILTER (o.k IS NULL) AS inserts, count(*) FILTER (o.k IS NOT NULL AND n.k IS NOT NULL AND o.h <> n.h) AS updates, count(*) FILTER (n.k IS NULL) AS deletes FROM o FULL JOIN n ON o.k = n.k""")
 def diff_iud(spark, d):
-    o = t(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("v"))
-    old = R.with_row_hash(o.where("o_orderkey % 3 <> 0"), ["o_orderkey", "v"])
-    new = R.with_row_hash(o.where("o_orderkey % 5 <> 0").withColumn("v", F.when(F.col("o_orderkey") % 7 == 0, F.col("v") + 1).otherwise(F.col("v"))), ["o_orderkey", "v"])
+    """All orders, each in the old version, the new one or both: partial ones came, those of 1993 went, those of 1995 changed."""
+    o = _orders(spark, d).withColumn("v", F.col("o_custkey"))
+    old = R.with_row_hash(o.where("o_orderstatus <> 'P'"), ["o_orderkey", "v"])
+    new = o.where("o_orderstatus = 'P' or year <> 1993").withColumn("v", F.when(F.col("year") == 1995, F.col("v") + 1).otherwise(F.col("v")))
+    new = R.with_row_hash(new, ["o_orderkey", "v"])
     return R.diff_counts(old, new, ["o_orderkey"])
 
 
@@ -218,23 +220,12 @@ def route_files(spark, d):
     return R.expand_partitions(control.route(_files(spark, d), control.routes(spark, ROUTES))).select("file_path", "version", "route_id", "entity", "partition_key")
 
 
-@query(_FILES_SQL + """, l AS (SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY version DESC) AS rn FROM f WHERE source_id = 'src1')
-SELECT 'first' AS entity, y AS partition_key, count(*) AS n_inputs, string_agg(CAST(version AS VARCHAR), ',' ORDER BY version) AS versions FROM l WHERE rn = 1 GROUP BY y""")
-def plan_items(spark, d):
-    files = _files(spark, d).where("source_id = 'src1'")
-    links = R.expand_partitions(control.route(files, control.routes(spark, ROUTES))).where("entity = 'first'")
-    dirty = control.mark_dirty(spark.createDataFrame([], control.DIRTY), links, "2024-01-01")
-    manifest = files.select("file_path", "content_hash", "discovered_at", F.col("start").alias("coverage_start"), F.col("end").alias("coverage_end"), F.lit("pending").alias("status"))
-    plan = control.plan(dirty, links, manifest)
-    return plan.select("entity", "partition_key", F.size("inputs").cast("long").alias("n_inputs"), F.array_join(F.transform("inputs", lambda i: i["content_hash"]), ",").alias("versions"))
-
-
 @query(_FILES_SQL + """, l AS (SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY version DESC) AS rn FROM f),
 k AS (SELECT 'first' AS entity, y AS partition_key, version FROM l WHERE rn = 1 AND source_id = 'src1'
 UNION ALL SELECT 'second', y || '-' || lpad(CAST(m AS VARCHAR), 2, '0'), version FROM l, range(1, 13) r(m) WHERE rn = 1 AND file_path LIKE '%0.parquet')
 SELECT entity, partition_key, count(*) AS n_inputs, string_agg(CAST(version AS VARCHAR), ',' ORDER BY version) AS versions FROM k GROUP BY entity, partition_key""")
-def plan_all_items(spark, d):
-    """As plan_items, over every source, route and entity."""
+def plan_items(spark, d):
+    """Every source, route and entity."""
     files = _files(spark, d)
     links = R.expand_partitions(control.route(files, control.routes(spark, ROUTES)))
     dirty = control.mark_dirty(spark.createDataFrame([], control.DIRTY), links, "2024-01-01")
@@ -262,3 +253,13 @@ METRIC = {"name": "customers", "formula": "one", "allowed_dimensions": ["r_name"
 def metric_rollup(spark, d):
     rows = t(spark, d, "customer").join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return metric(rows.withColumn("one", F.lit(1).cast("long")), METRIC, ["r_name"])
+
+
+def _more() -> None:
+    from cairn import stage_queries
+
+    QUERIES.update(stage_queries.QUERIES)
+    SQL.update(stage_queries.SQL)
+
+
+_more()

@@ -56,6 +56,12 @@ def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(w.hashes.view(np.int64), w.first[1:], END), w.first + np.arange(len(w.first))
 
 
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct entries, in no order, and which of them each entry is."""
+    d = pa.array(h).dictionary_encode()
+    return d.dictionary.to_numpy(), d.indices.to_numpy()
+
+
 def _merged(cols: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Rows sorted by ``cols``: equal ones become one, with the sum of their counts."""
     if not len(n):
@@ -94,7 +100,7 @@ def _send(batches, make, names, order=None):
             yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 250_000]) for c in (*cols, n)], names=names)
 
     for batch in batches:
-        for part in slices(batch, "_text"):
+        for part in slices(batch, "_text", 4 << 20):
             held.append(make(part.column(1)))
             size += len(held[-1][0])
             if size > SEND:
@@ -171,10 +177,11 @@ def _count_grams(train: DataFrame, words: str, size: int, order: int, parts: Par
     start, none, ids = size, size + 1, size + 2
     pair = ["v", "w"] if wide else ["k"]  # k: both in one long
     names = [*pair, "u"] if order == 3 else pair
+    sent = names if wide or order == 2 else ["k", "un"]  # un: u and the number in one long
 
     def make(col):
         h, first = tokens(col)
-        uniq, inv = np.unique(h, return_inverse=True)
+        uniq, inv = _distinct(h)
         w = Store.open(words).find(uniq)[0][inv]
         v, u = np.empty_like(w), np.empty_like(w)
         v[1:], u[2:] = w[:-1], w[:-2]
@@ -269,6 +276,8 @@ def _count_grams(train: DataFrame, words: str, size: int, order: int, parts: Par
         for b in batches:
             if b.num_rows:
                 *key, n = (b.column(i).to_numpy() for i in range(1, b.num_columns))
+                if sent != names:
+                    key, n = [*key, n & 0xFFFFFFFF], n >> 32
                 held.append([*(key[:2] if wide else (key[0] >> 32, key[0] & 0xFFFFFFFF)), *key[len(pair) :], n])
                 waiting += len(n)
             if waiting > SHARD:
@@ -278,7 +287,15 @@ def _count_grams(train: DataFrame, words: str, size: int, order: int, parts: Par
             yield from some(True)
         put_file(f"{path}/part-{at:06d}.json", json.dumps({"files": files, "counts": counts[:, 1:5].tolist()}).encode())
 
-    rows = train.mapInArrow(lambda batches: _send(batches, make, ["part", *names, "n"], lambda cols: _by_hash(cols, ids, wide)), ", ".join(f"{n} long" for n in ("part", *names, "n")))
+    def send(batches):
+        for b in _send(batches, make, ["part", *names, "n"], lambda cols: _by_hash(cols, ids, wide)):
+            if sent == names:
+                yield b
+                continue
+            part, k, u, n = (c.to_numpy() for c in b.columns)  # n: at most the n-grams added up at a time
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (part, k, n << 32 | u)], names=["part", *sent])
+
+    rows = train.mapInArrow(send, ", ".join(f"{n} long" for n in ("part", *sent, *(["n"] if sent == names else []))))
     rows = rows.repartitionById(-(-(parts.ranges - turn) // PASSES), F.floor(F.col("part") / PASSES).cast("int")).sortWithinPartitions(*pair)
     return rows.mapInArrow(write, ", ".join(f"{n} long" for n in STATS))
 
@@ -347,7 +364,8 @@ def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _bisect(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each ``want`` stands in x[lo:hi], which is sorted, and whether it does."""
-    lo, top, hi, last = lo.astype(np.int64), hi, hi.astype(np.int64), len(x) - 1
+    kind = np.int32 if len(x) < 1 << 30 else np.int64
+    lo, top, hi, last = lo.astype(kind), hi, hi.astype(kind), len(x) - 1
     if last < 0:
         return lo, np.zeros(len(lo), dtype=bool)
     live = np.flatnonzero(lo < hi)
@@ -474,13 +492,15 @@ class Model:
 
     def score(self, col: pa.Array) -> dict[str, np.ndarray]:
         h, first = tokens(col)
-        uniq, inv = np.unique(h, return_inverse=True)
+        uniq, inv = _distinct(h)
         ids, c = self.words.find(uniq, "c")
         _, follow, p, g = self.ids.find(ids, "follow", "p", "g")
         known = ids >= 0
         p, g = np.where(known, p, self.unknown), np.where(known, g, 1.0)
         base = np.log10((c + 0.5) / (self.total + 0.5 * (self.size + 1)))
         _, sf, sg = self.ids.find(np.array([self.size]), "follow", "g")
+        if self.size < NARROW:
+            ids = ids.astype(np.int32)
         w, begin = ids[inv], first[:-1]
 
         def before(x, at_start):
@@ -490,7 +510,7 @@ class Model:
             return out
 
         v, fv, gv = before(ids, self.size if sf[0] else -1), before(follow, sf[0]), before(g, sg[0] if sf[0] else 1.0)
-        u = np.full(len(w), self.size + 1)
+        u = np.full(len(w), self.size + 1, dtype=w.dtype)
         u[1:] = v[:-1]
         u[begin] = self.size + 1  # none
         both = np.flatnonzero((v >= 0) & (w >= 0))

@@ -46,7 +46,7 @@ SEND, SHARD, ORDER, PASSES = 2_000_000, 3_000_000, 3, 2
 NARROW = (1 << 31) - 2
 WORD, CONTEXT, HEAVY = 0, 1, 2
 #: Of the places where a pair's list begins every so many-th is stored; lengths tell the others.
-STRIDE = 16
+STRIDE = 4
 STATS = ["kind", "a", "b", "c", "n1", "n2", "n3", "cont"]
 
 
@@ -365,17 +365,23 @@ def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _bisect(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each ``want`` stands in x[lo:hi], which is sorted, and whether it does."""
     kind = np.int32 if len(x) < 1 << 30 else np.int64
-    lo, top, hi, last = lo.astype(kind), hi, hi.astype(kind), len(x) - 1
+    at, last = lo.astype(kind), len(x) - 1
     if last < 0:
-        return lo, np.zeros(len(lo), dtype=bool)
-    live = np.flatnonzero(lo < hi)
-    while len(live):
-        mid = (lo[live] + hi[live]) >> 1
-        less = x[mid] < want[live]
-        lo[live[less]] = mid[less] + 1
-        hi[live[~less]] = mid[~less]
-        live = live[lo[live] < hi[live]]
-    return lo, (lo < top) & (x[np.minimum(lo, last)] == want)
+        return at, np.zeros(len(at), dtype=bool)
+    on = np.flatnonzero(lo < hi)
+    low, left, w = at[on], (hi[on] - lo[on]).astype(kind), want[on]
+    while len(on):
+        half = left >> 1
+        mid = low + half
+        less = x[mid] < w
+        low = np.where(less, mid + 1, low)
+        left = np.where(less, left - half - 1, half)
+        more = left > 0
+        if not more.all():
+            over = ~more
+            at[on[over]] = low[over]
+            on, low, left, w = on[more], low[more], left[more], w[more]
+    return at, (at < hi) & (x[np.minimum(at, last)] == want)
 
 
 def _search(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -384,7 +390,7 @@ def _search(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, want: np.ndarray) ->
         return _bisect(x, lo, hi, want)
     cut = np.flatnonzero(np.append(True, lo[1:] != lo[:-1]))
     many = np.diff(np.append(cut, len(lo)))
-    long = (many >= 4) & (hi[cut] - lo[cut] >= 128)
+    long = (many >= 24) & (hi[cut] - lo[cut] >= 128)
     at, hit = np.empty(len(lo), dtype=np.int64), np.zeros(len(lo), dtype=bool)
     for a, n, b, e in zip(cut[long].tolist(), many[long].tolist(), lo[cut[long]].tolist(), hi[cut[long]].tolist()):
         own, w = x[b:e], want[a : a + n]
@@ -419,19 +425,25 @@ class Grams:
         part = self.parts.of(v, w, u if self.order == 3 else None)
         ids = self.parts.ids
         near = part * ids + v
-        order = np.argsort(near * ids + w if len(self.files) * ids**2 < 1 << 63 else near)  # so that neighbours read alike
-        edges = np.searchsorted(part[order], np.arange(len(self.files) + 1))
-        for p in np.flatnonzero(np.diff(edges)).tolist():
-            own, files = order[edges[p] : edges[p + 1]], self.files[p]
-            if not files:
+        order = np.argsort(near * ids + w) if len(self.files) * ids**2 < 1 << 63 else np.lexsort((w, near))
+        part, sv, sw, su = (x[order] for x in (part, v, w, u))
+        sa, sc, scontext = a.copy(), c.copy(), context.copy()
+        edges = np.searchsorted(part, np.arange(len(self.files) + 1)).tolist()
+        for files, lo, hi in zip(self.files, edges, edges[1:]):
+            if lo == hi or not files:
                 continue
-            file = np.zeros(len(own), dtype=np.int64)
-            hot = self.parts.spread(v[own]) > 1
-            for _, _, fv, fw in files[1:]:  # ends with the last file that begins at or before the word, of a hot one: the pair
-                file += (v[own] > fv) | ((v[own] == fv) & (~hot | (w[own] >= fw)))
-            for f in np.unique(file).tolist():
-                i = own[file == f] if len(files) > 1 else own
-                a[i], c[i], context[:, i] = self._in(files[f][0], v[i], w[i], u[i])
+            cuts = [lo]
+            for _, _, fv, fw in files[1:]:  # a file begins with the first pair of its word; that of a hot one, with its own first pair
+                word = sv.dtype.type(fv)
+                cut = lo + int(np.searchsorted(sv[lo:hi], word))
+                if self.parts.spread(np.array([fv]))[0] > 1:
+                    end = lo + int(np.searchsorted(sv[lo:hi], word, "right"))
+                    cut += int(np.searchsorted(sw[cut:end], sw.dtype.type(fw)))
+                cuts.append(cut)
+            for (name, *_), b, e in zip(files, cuts, [*cuts[1:], hi]):
+                if b < e:
+                    self._in(name, sv[b:e], sw[b:e], su[b:e], sa[b:e], sc[b:e], scontext[:, b:e])
+        a[order], c[order], context[:, order] = sa, sc, scontext
         if self.heavy is not None:
             i = np.flatnonzero(self.parts.heavy(v, w))
             a[i] = self.heavy.find(v[i], "c", low=w[i])[1]
@@ -441,37 +453,48 @@ class Grams:
                 row[i[rank >= 0]] = x[rank >= 0]
         return a, c, context
 
-    def _in(self, name: str, v, w, u):
+    def _in(self, name: str, v, w, u, a, c, context) -> None:
+        """``find`` within one file, for rows sorted by v and w; fills a, c and context.  A pair is searched for once."""
         x = lambda k: self.array(name, k)
-        a, c, context = np.zeros(len(v), dtype=np.int64), np.zeros(len(v), dtype=np.int64), np.ones((4, len(v)), dtype=np.int64)
-        context[2:] = 0
         first, at, n = x("v"), x("v.at"), x("n")
-        j = np.searchsorted(first, v)
+        new = np.append(True, v[1:] != v[:-1])
+        j = np.searchsorted(first, v[new])
         j[j == len(first)] = 0
-        live = np.flatnonzero(first[j] == v)
-        j = j[live]
-        lo, hi = at[j].astype(np.int64), at[j + 1].astype(np.int64)
+        nth = np.cumsum(new) - 1
+        known = (first[j] == v[new])[nth]
+        j = j[nth]
+        new[1:] |= w[1:] != w[:-1]
+        pair = np.cumsum(new) - 1  # of each row
+        two = np.flatnonzero(new)
+        live = two[known[two]]
+        p = pair[live]
+        lo, hi = at[j[live]].astype(np.int64), at[j[live] + 1].astype(np.int64)
         k, hit = _search(x("w"), lo, hi, w[live])
+        k, p, live = k[hit], p[hit], live[hit]
+        seen = np.zeros(len(two), dtype=np.int64)
         if self.order == 2:
-            a[live[hit]] = n[k[hit]]
-            return a, c, context
+            seen[p] = n[k]
+            a[:] = seen[pair]
+            return
+        rows = np.flatnonzero(known)
         at = x("c.at")
-        lo, hi = at[j].astype(np.int64), at[j + 1].astype(np.int64)
-        q, there = _search(x("c.u"), lo, hi, u[live])
+        q, there = _search(x("c.u"), at[j[rows]].astype(np.int64), at[j[rows] + 1].astype(np.int64), u[rows])
+        q, rows = q[there], rows[there]
         for row, kind in zip(context, ("c", "n1", "n2", "n3")):
-            row[live[there]] = x(f"c.{kind}")[q[there]]
-        live, k = live[hit], k[hit]
+            row[rows] = x(f"c.{kind}")[q]
         lengths = x("w.n")
         block = k // STRIDE
         lo = x("w.at")[block].astype(np.int64)
         for i in range(STRIDE - 1):  # the lists of the block that stand before
             before = block * STRIDE + i
             lo += np.where(before < k, lengths[np.minimum(before, len(lengths) - 1)], 0)
-        hi = lo + lengths[k]
-        a[live] = np.where(v[live] == self.start, n[lo], hi - lo) if len(live) else 0
-        k, hit = _bisect(x("u"), lo, hi, u[live])
-        c[live[hit]] = n[k[hit]]
-        return a, c, context
+        begin, end = np.zeros(len(two), dtype=np.int64), np.zeros(len(two), dtype=np.int64)
+        begin[p], end[p] = lo, lo + lengths[k]
+        seen[p] = np.where(v[live] == self.start, n[lo], lengths[k])
+        a[:] = seen[pair]
+        rows = np.flatnonzero(a)
+        k, hit = _bisect(x("u"), begin[pair[rows]], end[pair[rows]], u[rows])
+        c[rows[hit]] = n[k[hit]]
 
 
 class Model:
@@ -526,7 +549,7 @@ class Model:
             at = np.flatnonzero(seen & (w < 0))  # an unknown word's context is looked up with a word that is known
             context[:, at] = self.grams.find(v[at], v[at], u[at])[2]
             at = np.flatnonzero(seen)
-            prob[at] = (less(n[at], self.d[3]) + self.d[3][1:] @ context[1:, at] * prob[at]) / context[0, at]
+            prob[at] = (less(n[at], self.d[3]) + sum(d * x for d, x in zip(self.d[3][1:], context[1:, at])) * prob[at]) / context[0, at]
         add = lambda x: np.add.reduceat(x, begin) if len(begin) else np.zeros(0)
         return {"n_tokens": np.diff(first), "n_known": add(known[inv].astype(np.int64)), "base_score": add(base[inv]), "score": add(np.log10(prob))}
 

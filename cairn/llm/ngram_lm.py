@@ -239,7 +239,7 @@ def _count_grams(train: DataFrame, words: str, size: int, order: int, parts: Par
                 yield from stats(CONTEXT, _context_key(cu, cv)[part], cu[part], c[part], [x[part] for x in some])
                 own = ~part & (c > 1)
                 arrays |= {"c.at": np.searchsorted(cv[own], np.append(arrays["v"], ids)), "c.u": cu[own]}
-                arrays |= {f"c.{k}": x[own] for k, x in zip(("c", "n1", "n2", "n3"), (c, *some))}
+                arrays["c"] = np.stack([x[own] for x in (c, *some)], axis=1)  # side by side, as they are read
             for k, x in arrays.items():
                 put_array(f"{path}/{name}.{k}.npy", _least(x))
             if len(pv):
@@ -318,7 +318,7 @@ def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     parts = Parts(ranges, size + 2, [i for i, _ in hot], [min(ranges, -(-2 * c * ranges // total)) for _, c in hot])
     add = [F.sum(c).alias(c) for c in STATS[3:]]
     grams = lambda turn: _count_grams(frame, f"{path}/words", size, order, parts, f"{path}/grams", size > NARROW if wide is None else wide, turn)
-    turns = [durable(grams(turn).groupBy("kind", "a", "b").agg(*add), "lm-stats") for turn in range(PASSES)]
+    turns = [durable(grams(turn), "lm-stats") for turn in range(PASSES)]
     sums = durable(reduce(DataFrame.union, turns).groupBy("kind", "a", "b").agg(*add), "lm-stats")
     forget(spark, *turns)
 
@@ -480,8 +480,7 @@ class Grams:
         at = x("c.at")
         q, there = _search(x("c.u"), at[j[rows]].astype(np.int64), at[j[rows] + 1].astype(np.int64), u[rows])
         q, rows = q[there], rows[there]
-        for row, kind in zip(context, ("c", "n1", "n2", "n3")):
-            row[rows] = x(f"c.{kind}")[q]
+        context[:, rows] = x("c")[q].T
         lengths = x("w.n")
         block = k // STRIDE
         lo = x("w.at")[block].astype(np.int64)
